@@ -81,6 +81,8 @@ _DOT = re.compile(r"\s{0,3}[\[({<]\s{0,3}(?:dot|punkt|point|punto|\.)\s{0,3}[\])
 _BARE = re.compile(r"(?<![\w.%+-])[A-Za-z0-9_%+.-]{1,64}\s{1,3}(?:at|arroba)\s{1,3}[A-Za-z0-9-]{1,63}(?:(?:\s{1,3}(?:dot|punkt|point|punto)\s{1,3}|\.)[A-Za-z0-9-]{1,63})+", re.I)
 _BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}(?:dot|punkt|point|punto)\s{1,3}(?=[A-Za-z0-9])", re.I)
 _BARE_AT = re.compile(r"\s{1,3}(?:at|arroba)\s{1,3}", re.I)
+_BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at|arroba|@|dot|punkt|point|punto|\.)\s{0,3}[\])}>]", re.I)
+_DOT_WORDS, _AT_WORDS = frozenset((b"dot", b"punkt", b"point", b"punto")), frozenset((b"at", b"arroba"))
 _SPELLED_BYTES = frozenset(w.encode() for w in [*_SPELLED, "dot", "punkt", "point", "punto"])
 _TWO_SPELLED = re.compile(rf"(?<![A-Za-z])(?:{'|'.join(_SPELLED)})(?![A-Za-z]).{{1,3}}(?:{'|'.join([*_SPELLED, 'dot', 'punkt', 'point', 'punto'])})(?![A-Za-z])", re.I | re.S)
 
@@ -167,10 +169,10 @@ def _signs(tape: Tape) -> Tape:
 def restored(text: str) -> Tape | None:
     """The text without its disguises; None if nothing hints at any."""
     foreign = not text.isascii() and _FOREIGN.search(text) is not None
-    low = text.lower()
-    dotted = any(w in low for w in ("dot", "punkt", "point", "punto")) or _DOT.search(low) is not None
-    signs = (dotted or "." in low) and ("at" in low or "arroba" in low or "@" in low) and (dotted or _AT.search(low) is not None)
-    spelled = b"\x01\x01" in bytes(map(_SPELLED_BYTES.__contains__, words_of(text.encode())))
+    words = words_of(text.encode())
+    named = not _DOT_WORDS.isdisjoint(words)
+    signs = named or _BRACKETED.search(text) is not None
+    spelled = b"\x01\x01" in bytes(map(_SPELLED_BYTES.__contains__, words))
     if not (foreign or signs or spelled):
         return None
     tape: Tape = (text, list(range(len(text))), list(range(1, len(text) + 1)))

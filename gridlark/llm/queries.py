@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlark.llm import decontam, mixture, pii, secret_scan, token_count
-from gridlark.llm.common import ship, table
+from gridlark.llm import decontam, mixture, pii, secret_scan, token_count, toxicity
+from gridlark.llm.common import crc_remainder, ship, table
 
 
 def op1_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score_toxicity(docs, labels, learn=crc_remainder("doc_id", 5) != 0)
+    return scored.select("doc_id", (crc_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -33,7 +39,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_mixture, op3_token_counts, op4_decontamination, op5_pii, op7_secrets)
+_QUERIES = (op1_mixture, op2_toxicity, op3_token_counts, op4_decontamination, op5_pii, op7_secrets)
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
