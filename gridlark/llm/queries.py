@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlark.llm import decontam, mixture, pii, secret_scan, token_count, toxicity
+from gridlark.llm import decontam, mixture, pii, quality, secret_scan, token_count, toxicity
 from gridlark.llm.common import crc_remainder, ship, table
 
 
@@ -39,7 +39,13 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_mixture, op2_toxicity, op3_token_counts, op4_decontamination, op5_pii, op7_secrets)
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score_quality(docs, labels, learn=crc_remainder("doc_id", 4) != 2)
+    return scored.select("doc_id", (crc_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+_QUERIES = (op1_mixture, op2_toxicity, op3_token_counts, op4_decontamination, op5_pii, op7_secrets, op10_quality)
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
