@@ -37,16 +37,18 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, written to the checkpoint folder and read from there from now on.
-
-    The folder is the one the cluster names in spark.checkpoint.dir. Only where none is set, as in tests on one
-    machine, a temporary one is taken.
-    """
-    sc = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Only where none is set, as in tests on one machine, a
+    temporary one is taken."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="gridlark-checkpoint-"))
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridlark-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, written to the checkpoint folder and read from there from now on."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

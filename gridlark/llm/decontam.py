@@ -82,8 +82,9 @@ def covered(spans: Iterable[tuple[int, int]]) -> int:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", window: int = WINDOW, carry: list[str] | None = None) -> DataFrame:
-    """A row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated; columns in carry come along.
+                  item_text: str = "text", window: int = WINDOW, carry: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """A row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, with prefix before these names;
+    columns in carry come along.
 
     Null and empty texts have no words and hit nothing, on either side; an item of fewer than `window` words is one
     test string of all of them. A null item id counts as the empty string; rows that repeat an item id are one item.
@@ -112,7 +113,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
         last = k == blocks - 1
         schema = f"{head}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean{tail}" if last else f"{head}, body binary, spans array<int>, items array<string>{tail}"
         df = df.mapInArrow(_pass(shared, window, last), schema)
-    return df.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", *[F.col(h).alias(c) for c, h in zip(carry, held, strict=True)])
+    own = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    return df.select(*[F.col(c).alias(prefix + c) for c in own], *[F.col(h).alias(c) for c, h in zip(carry, held, strict=True)])
 
 
 _built: dict[str, list[Searcher]] = {}

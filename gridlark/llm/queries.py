@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlark.llm import decontam, jaccard, mixture, pii, quality, secret_scan, token_count, toxicity
+from gridlark.llm import ann, decontam, jaccard, license_scan, mixture, pii, quality, secret_scan, token_count, toxicity
 from gridlark.llm.common import crc_remainder, ship, table
 
 
@@ -35,6 +35,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -43,13 +47,17 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = quality.score_quality(docs, labels, learn=crc_remainder("doc_id", 4) != 2)
     return scored.select("doc_id", (crc_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
-_QUERIES = (op1_mixture, op2_toxicity, op3_token_counts, op4_decontamination, op5_pii, op7_secrets, op8_near_duplicates, op10_quality)
+_QUERIES = (op1_mixture, op2_toxicity, op3_token_counts, op4_decontamination, op5_pii, op6_neighbours, op7_secrets, op8_near_duplicates, op9_licenses, op10_quality)
 
 
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -65,4 +73,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixture": mixture.SQL, "op4_decontamination": decontam.SQL, "op8_near_duplicates": jaccard.SQL}
+    return {"op1_mixture": mixture.SQL, "op4_decontamination": decontam.SQL, "op8_near_duplicates": jaccard.SQL, "op9_licenses": license_scan.sql()}

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlark.llm.common import checkpointed
+from gridlark.llm.common import checkpointed, small
 
 #: The three kinds of the base, then those that the method adds. Kind, pattern, group of the secret.
 BASE = (
@@ -132,3 +132,10 @@ def find_secrets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         "doc_id", zero("n_assign"), zero("n_access"), zero("n_hex"), F.coalesce("base_sha256", none).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"), zero("n_live"), zero("n_example"),
     )
+
+
+def rows_without_live(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
+    """The rows of docs whose id has no row with a live-looking secret; columns as they are. Rows without an id stay."""
+    found = find_secrets(docs, doc_id=doc_id, text=text, owner=owner, repository=doc_id)
+    live = checkpointed(found.filter("n_live > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("live")).distinct())
+    return docs.join(small(live, live.count()), F.col(f"`{doc_id}`") == F.col("live"), "left_anti")

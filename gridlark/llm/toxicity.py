@@ -225,8 +225,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: st
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", learn=None,
-                   carry: list[str] | None = None) -> DataFrame:
-    """A row per document: doc_id, score, predicted; columns in carry come along.
+                   carry: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """A row per document: doc_id, score, predicted, with prefix before these names; columns in carry come along.
 
     The character model counts all texts. Labels are looked up by doc_id and learnt from where `learn` holds; null ids
     and labels other than 0 and 1 are passed over, of several labels of a document the highest counts. A null text
@@ -259,4 +259,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id"
 
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), *[F.col(f"`{c}`").alias(h) for c, h in zip(carry, held, strict=True)])
     schema = f"doc_id {kinds[doc_id]}, score double, predicted int" + "".join(f", {h} {kinds[c]}" for c, h in zip(carry, held, strict=True))
-    return rows.mapInArrow(run, schema).select("doc_id", "score", "predicted", *[F.col(h).alias(c) for c, h in zip(carry, held, strict=True)])
+    return rows.mapInArrow(run, schema).select(*[F.col(c).alias(prefix + c) for c in ("doc_id", "score", "predicted")], *[F.col(h).alias(c) for c, h in zip(carry, held, strict=True)])
