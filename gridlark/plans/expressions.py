@@ -187,7 +187,8 @@ class Binder:
             raise SqlSemanticError("ESCAPE takes one character")
         column, shown = v.text(x), pattern.literal
         if node.folded:
-            column, shown = F.lower(F.upper(column)), shown.casefold()
+            # folds as ß to ss do; bare lower(upper(x)) would be simplified to lower(x)
+            column, shown = F.lower(F.concat(F.upper(column), F.lit(""))), shown.casefold()
             escape = escape.casefold() if escape else None
         head = shown[:-1]
         if shown.endswith("%") and escape is None and head and not any(c in head for c in "%_\\") and not x.dynamic and not node.folded and x.kind == v.TEXT:
