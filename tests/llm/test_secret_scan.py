@@ -1,0 +1,59 @@
+import hashlib
+import random
+import re
+
+from gridlark.llm import secret_scan
+from tests.llm.helpers import ODD, collected, docs
+
+
+def brute(text):
+    kinds = [
+        ("assign", r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+        ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 24),
+    ]
+    found = [(m.start(), k, f"{name}:{m.start()}:{m.end()}") for k, (name, p, ok) in enumerate(kinds) for m in re.finditer(p, text) if ok(m)]
+    return [x[2] for x in sorted(found)]
+
+
+def check(spark, rows):
+    got = collected(secret_scan.find_secrets(docs(spark, rows)))
+    want = []
+    for i, t, _ in rows:
+        base = brute(t or "")
+        want.append((str(i), *[sum(b.startswith(k) for b in base) for k in ("assign", "access", "hex")], hashlib.sha256(",".join(base).encode()).hexdigest()))
+    assert sorted((str(g["doc_id"]), g["n_assign"], g["n_access"], g["n_hex"], g["base_sha256"]) for g in got) == sorted(want)
+    return got
+
+
+def test_base_like_the_patterns(spark):
+    r = random.Random(6)
+    pool = ["password", "Token", "API_KEY", "apikey", "=", ":", " ", "  ", '"', "'", "abcdef", "x", "ab", "==", "deadbeef" * 3, "AKIA", "ABCDEFGH12345678", "é", "😀", "secret", "0f" * 13, "\n"]
+    rows = ODD + [(500 + i, "".join(r.choice(pool) for _ in range(r.randint(3, 30))), r.choice("abc")) for i in range(300)]
+    check(spark, rows)
+
+
+def test_many_matches_in_one_text(spark):
+    check(spark, [(1, "token=abcdefgh " * 5000, "a"), (2, "x" * 100_000, "a")])
+
+
+def test_ownership_tells_examples_from_live(spark):
+    shared = "token=Zx81kQpa93Lm"
+    rows = [(i, f"see {shared}", f"s{i}") for i in range(5)] + [(10, "password=qW3rT9uIoP1a", "s1"), (11, "password=qW3rT9uIoP1a", "s1"), (12, "password=aaaaaaaaaa", "s2")]
+    got = {g["doc_id"]: g for g in check(spark, rows)}
+    assert all((got[i]["n_live"], got[i]["n_example"]) == (0, 1) for i in range(5))
+    assert (got[10]["n_live"], got[11]["n_live"], got[12]["n_live"]) == (1, 1, 0)
+    kept = secret_scan.rows_without_live(docs(spark, rows))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4, 12] and kept.columns == docs(spark, rows).columns
+
+
+def test_added_kinds(spark):
+    key = "ghp_" + "a1B2" * 10
+    (g,) = collected(secret_scan.find_secrets(docs(spark, [(1, f"😀 key {key} and -----BEGIN RSA PRIVATE KEY-----", "a")])))
+    assert g["spans"] == f"github:6:{6 + len(key)},private:{6 + len(key) + 5}:{6 + len(key) + 5 + 31}"
+
+
+def test_empty_and_native(spark):
+    assert collected(secret_scan.find_secrets(docs(spark, []))) == []
+    plan = secret_scan.find_secrets(docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
