@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.llm.common import _WORD_BYTES, BROADCAST_ROWS, checkpointed
+from gridlark.llm.common import _WORD_BYTES, BROADCAST_ROWS, checkpointed, small
 
 WORDS, THRESHOLD = 5, 0.8
 #: Signature: 24 bands of 4 values. A pair at the threshold shares no band with probability (1 - 0.8 ** 4) ** 24 = 3e-6.
@@ -310,18 +310,11 @@ def _fetched(docs: DataFrame, active: DataFrame, words: int) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
-    """A row per row of docs: doc_id, class_id, n_links, n_shingles.
-
-    Two documents are linked if the Jaccard similarity of their sets of `words`-word shingles is at least `threshold`; a
-    text of fewer words has one shingle of them all. class_id is the least doc_id that links lead to, the document's own
-    without any. n_links is its number of linked documents, copies among them. Texts without words, null or empty, are
-    linked to nothing, not even to each other. Null ids count after all others; documents with equal ids are documents
-    of their own. An empty table gives no rows; columns besides the two that are named are not read.
-    """
+def _linked(docs: DataFrame, doc_id: str, text: str, words: int, threshold: float) -> DataFrame:
+    """A row per row of docs: doc_id, th, class, n, lead, links. lead is (no, doc_id, th) of the first document that links
+    lead to, itself among them; it is null for texts that are linked to nothing."""
     least = fewest_matches(threshold)
-    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("th"), body.cast("binary").alias("body"))
+    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), _text_hash(text).alias("th"), _body(text).cast("binary").alias("body"))
     rows = checkpointed(_sketch(own, dict(docs.dtypes)[doc_id], words))
     first = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "th")
     classes = checkpointed(
@@ -350,33 +343,60 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     roots = one.union(many.select("node", "root")) if wide.limit(1).count() else one
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     leading = roots.join(classes.select("class", F.col("first").alias("own")), "class").groupBy("root").agg(F.min("own").alias("lead"))
-    named = roots.join(leading, "root").select("class", F.col("lead.doc_id").alias("lead"))
+    named = roots.join(leading, "root").select("class", "lead")
     told = (
-        classes.filter("copies > 1").select("class", "copies", F.col("first.doc_id").alias("own"))
+        classes.filter("copies > 1").select("class", "copies", F.col("first").alias("own"))
         .join(named, "class", "full")
         .join(links, "class", "left")
         .select("class", F.coalesce("lead", "own").alias("lead"), (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("links"))
     )
-    return rows.select("doc_id", "class", "n").join(told, "class", "left").select(
-        "doc_id", F.coalesce("lead", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.col("n").alias("n_shingles")
+    return rows.select("doc_id", "th", "class", "n").join(told, "class", "left")
+
+
+def _body(text: str) -> Column:
+    return F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+
+
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(_body(text))
+
+
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
+    """A row per row of docs: doc_id, class_id, n_links, n_shingles.
+
+    Two documents are linked if the Jaccard similarity of their sets of `words`-word shingles is at least `threshold`; a
+    text of fewer words has one shingle of them all. class_id is the least doc_id that links lead to, the document's own
+    without any. n_links is its number of linked documents, copies among them. Texts without words, null or empty, are
+    linked to nothing, not even to each other. Null ids count after all others; documents with equal ids are documents
+    of their own. An empty table gives no rows; columns besides the two that are named are not read.
+    """
+    return _linked(docs, doc_id, text, words, threshold).select(
+        "doc_id", F.coalesce("lead.doc_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.col("n").alias("n_shingles")
     )
 
 
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that lead their group, one for each, and those that are in none; columns as they are.
+    """The row of docs that leads each group, and those that are in none; columns as they are.
 
-    Of rows that repeat an id and a text one stays. Rows without an id or without words all stay: they lead nothing.
+    The leader is the document of least id, a null id counting as greatest; of documents that share the least id the one
+    whose text has the least hash, and of rows that repeat both one. Texts without words are in no group and all stay.
     """
-    found = near_duplicates(docs, doc_id=doc_id, text=text)
-    gone = found.filter((F.col("class_id") != F.col("doc_id")) & (F.col("n_links") > 0)).select(F.col("doc_id").alias("gone")).distinct()
-    kept = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, F.col(f"`{doc_id}`") == F.col("gone"), "left_anti")
-    repeated = docs.groupBy(F.col(f"`{doc_id}`").alias("again")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND again IS NOT NULL").select("again")
-    n = repeated.count()
-    if not n:
-        return kept
-    twice = F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated
-    some = kept.join(twice, F.col(f"`{doc_id}`") == F.col("again"), "left_semi").dropDuplicates([doc_id, text])
-    return kept.join(twice, F.col(f"`{doc_id}`") == F.col("again"), "left_anti").unionByName(some)
+    id_ = F.col(f"`{doc_id}`")
+    key = [id_.isNull().alias("key_no"), F.coalesce(id_.cast("string"), F.lit("")).alias("key_id"), _text_hash(text).alias("key_th")]
+    linked = checkpointed(_linked(docs, doc_id, text, WORDS, THRESHOLD).filter("links > 0").select("doc_id", "th", "lead"))
+    names = ["key_no", "key_id", "key_th"]
+    held = [F.col("doc_id").isNull().alias("key_no"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key_id"), F.col("th").alias("key_th")]
+    leads = (F.col("th") == F.col("lead.th")) & F.col("doc_id").eqNullSafe(F.col("lead.doc_id"))
+    gone = linked.filter(~leads).select(*held).distinct()
+    again = linked.filter(leads).groupBy(*held).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*names)
+    n_gone, n_again = gone.count(), again.count()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept_row"), *key)
+    kept = rows.join(small(gone, n_gone), names, "left_anti")
+    if n_again:  # only rows that repeat an id and a text meet in a shuffle, one of them for each task
+        twice = small(again, n_again)
+        once = kept.join(twice, names, "left_anti")
+        kept = once.unionByName(kept.join(twice, names, "left_semi").dropDuplicates(names).select(*kept.columns))
+    return kept.select(*[F.col(f"kept_row.`{c}`").alias(c) for c in docs.columns])
 
 
 SQL = r"""

@@ -93,6 +93,14 @@ def test_one_of_each(spark):
     assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 3, 4, None, None, 5, 6, 7, 7, 8, 22])
 
 
+def test_one_of_each_where_ids_repeat(spark):
+    a, b = "a b c d e f g h i j k l", "quite another text that is like no other one here"
+    rows = [(7, a, "s"), (7, b, "s"), (3, a, "s"), (3, a + " m", "s"), (3, a, "t"), (None, b, "s"), (None, b, "s"), (None, "z z z z z z z z", "s"), (None, "z z z z z z z z", "s"), (9, "", "s"), (9, "", "s")]
+    kept = [(r.doc_id, r.text) for r in jaccard.one_of_each(docs(spark, rows)).collect()]
+    assert Counter(i for i, _ in kept) == Counter([3, 7, None, 9, 9])
+    assert (7, b) in kept and (None, "z z z z z z z z") in kept
+
+
 def test_nodes_meet_at_the_least(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 120), (120, 110), (200, 200)]
     df = spark.createDataFrame([(bytearray(a.to_bytes(16, "big")), bytearray(b.to_bytes(16, "big"))) for a, b in edges], "u binary, v binary")
