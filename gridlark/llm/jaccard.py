@@ -344,13 +344,14 @@ def _linked(docs: DataFrame, doc_id: str, text: str, words: int, threshold: floa
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     leading = roots.join(classes.select("class", F.col("first").alias("own")), "class").groupBy("root").agg(F.min("own").alias("lead"))
     named = roots.join(leading, "root").select("class", "lead")
-    told = (
+    told = checkpointed(
         classes.filter("copies > 1").select("class", "copies", F.col("first").alias("own"))
         .join(named, "class", "full")
         .join(links, "class", "left")
         .select("class", F.coalesce("lead", "own").alias("lead"), (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("links"))
     )
-    return rows.select("doc_id", "th", "class", "n").join(told, "class", "left")
+    # written out, so that a text that stands everywhere can be split in the join, or the join be a broadcast
+    return rows.select("doc_id", "th", "class", "n").join(small(told, told.count()), "class", "left")
 
 
 def _body(text: str) -> Column:

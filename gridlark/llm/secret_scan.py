@@ -115,8 +115,10 @@ def find_secrets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     not read.
     """
     rows, found = candidates(docs, doc_id=doc_id, text=text, owner=owner, repository=repository)
-    judged = found.join(ownership(found), "hash")
-    shared = F.col("n_owners") >= SHARED_OWNERS
+    # of its own, so that a value that stands everywhere can be split in the join, or the join be a broadcast
+    examples = checkpointed(ownership(found).filter(F.col("n_owners") >= SHARED_OWNERS).select("hash", "n_owners"))
+    judged = found.join(small(examples, examples.count()), "hash", "left")
+    shared = F.col("n_owners").isNotNull()
     base = F.col("order") < len(BASE)
     names = [k for k, _, _ in (*BASE, *ADDED)]
     by_row = judged.groupBy("row").agg(
