@@ -78,9 +78,14 @@ class Compiler:
     def _joined(self, node: a.Select, around: Scope | None) -> tuple[DataFrame, Scope, Column | None]:
         df, fields, order = scanned(self.resolve(node.source.table), node.source.ref)
         scope = Scope(fields, around)
+        refs, tables = {node.source.ref.casefold()}, {node.source.table.casefold()}
         for join in node.joins:
-            if scope._has(join.source.ref):
-                raise SqlSemanticError(f"Duplicate table reference: {join.source.ref}; use distinct aliases")
+            ref, table = join.source.ref.casefold(), join.source.table.casefold()
+            # a name may stand for one source only, be it as alias or as table
+            if ref in refs or table in refs or join.source.alias is not None and ref in tables:
+                raise SqlSemanticError(f"Ambiguous table reference: {join.source.ref}; use distinct aliases")
+            refs.add(ref)
+            tables.add(table)
             right, more, _ = scanned(self.resolve(join.source.table), join.source.ref)
             both = Scope(scope.fields + more, around)
             if join.kind == "cross":

@@ -117,6 +117,21 @@ def test_backup_guards_and_options(book, spark, tmp_path):
         dbapi.connect("https://host/book.xlsx", spark=spark)
 
 
+def test_empty_workbook(spark, tmp_path):
+    path = str(tmp_path / "new.xlsx")
+    with dbapi.connect(path, create=True, spark=spark) as c:
+        cursor = c.execute("SELECT * FROM Sheet")
+        assert cursor.description == [] and cursor.fetchall() == []
+        with pytest.raises(errors.ProgrammingError):
+            c.execute("SELECT a FROM Sheet")
+        c.execute('CREATE TABLE t (id INTEGER, "Full Name" TEXT)')
+        c.execute('INSERT INTO t VALUES (1, "quoted")')
+        c.execute("DROP TABLE Sheet")
+    with dbapi.connect(path, spark=spark) as c:
+        assert c.execute('SELECT "Full Name" FROM T').fetchall() == [("quoted",)]
+        assert [x["type_name"] for x in reflection.read_table_metadata(c, "t")] == ["INTEGER", "TEXT"]
+
+
 def test_parquet_folder(spark):
     with dbapi.connect("/root/testdata/sf0.001", spark=spark) as c:
         assert c.engine_name == "parquet" and reflection.has_table(c, "NATION")

@@ -90,6 +90,8 @@ REFUSED = [
     "SELECT id FROM people p JOIN teams t ON p.id = t.person_id", "SELECT p.id FROM people p JOIN people p ON p.id = p.id", "SELECT p.id FROM people p JOIN teams t ON p.id = p.score",
     "SELECT p.id FROM people p JOIN teams t ON id = person_id", "SELECT id FROM people UNION SELECT id, name FROM people", "SELECT id, score FROM people GROUP BY id", "SELECT id FROM people GROUP BY id HAVING score > 1",
     "SELECT id FROM people GROUP BY id ORDER BY score", "SELECT born + 1 FROM people", "SELECT CAST(born AS INTEGER) FROM people", "SELECT YEAR(id) FROM people", "SELECT k FROM dup UNION SELECT id FROM people ORDER BY nope",
+    "SELECT people.id FROM people JOIN people b ON people.id = b.id", "SELECT teams.id FROM people teams JOIN teams t ON teams.id = t.person_id",
+    "SELECT people.id FROM people p JOIN teams people ON p.id = people.person_id", "SELECT id FROM people WHERE id LIKE 1",
     "SELECT id FROM people WHERE name LIKE name", "SELECT 'x' + 1 FROM people",
 ]
 
