@@ -9,8 +9,6 @@ from gridlark.errors import SqlSemanticError
 from gridlark.functions import values as v
 from gridlark.functions.values import BOOL, DATE, DATETIME, INT, NULL, REAL, TEXT, Value
 
-_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
-
 
 def call(name: str, args: list[Value]) -> Value:
     return _FUNCTIONS[name](*args)
