@@ -64,8 +64,8 @@ def base_spans(text: str) -> list[list[tuple[int, int]]]:
 # Look-alikes of ASCII letters and signs.
 _ALIKE = dict(zip("аеорсухіјѕԁһкмтвнАЕОРСУХІЈЅКМТВН", "aeopcyxijsdhkmtbhAEOPCYXIJSKMTBH", strict=True))
 _ALIKE |= dict(zip("αορνικτΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aopviktABEZHIKMNOPTYX", strict=True))
-_ALIKE |= dict(zip("﹫․。·‐‑‒–—−﹣", "@...-------", strict=True))
-_HIDDEN = frozenset("­​‌‍‎‏⁠﻿")
+_ALIKE |= dict(zip("﹫․。\u00b7‐‑‒–—−﹣", "@...-------", strict=True))
+_HIDDEN = frozenset("\u00ad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff")
 #: Digit words of a few languages (fixed values).
 _SPELLED = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
@@ -117,7 +117,7 @@ def _plain(c: str) -> str | None:
     return None
 
 
-_FOREIGN = re.compile("[­·Ͱ-￿\U00010000-\U0010ffff]")
+_FOREIGN = re.compile("[\u00ad\u00b7Ͱ-\uffff\U00010000-\U0010ffff]")
 
 
 def _characters(tape: Tape) -> Tape:
@@ -125,7 +125,7 @@ def _characters(tape: Tape) -> Tape:
     look-alike only where it touches ASCII letters, digits or other look-alikes of the same word, so words that are
     wholly Greek or Cyrillic stay."""
     text, edits = tape[0], []
-    for m in re.finditer(r"[^\s]*[­·Ͱ-\U0010ffff][^\s]*", text):
+    for m in re.finditer(r"[^\s]*[\u00ad\u00b7Ͱ-\U0010ffff][^\s]*", text):
         word = m[0]
         latin = any(c.isascii() and c.isalnum() or c in "@." or 0xFF01 <= ord(c) <= 0xFF5E or unicodedata.digit(c, None) is not None for c in word)
         for i, c in enumerate(word):
