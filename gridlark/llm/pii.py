@@ -69,13 +69,13 @@ _HIDDEN = frozenset("\u00ad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff")
 #: Digit words of a few languages (fixed values).
 _SPELLED = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
-    "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
-    "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
 _NUMERAL = r"(?:[0-9]+|" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + r")"
 _RUN = re.compile(rf"(?<!\w)(?:(?:plus|\+)[\x20]?)?(?:{_NUMERAL}(?:[\x20.,()-]{{1,3}}(?:(?:dot|punkt|point|punto)[\x20])?)){{3,}}{_NUMERAL}(?!\w)", re.I)
-_WORD = re.compile(r"[A-Za-z]+|[0-9]+|.", re.S)
+_WORD = re.compile(r"[^\W\d_]+|[0-9]+|.", re.S)
 _AT = re.compile(r"\s{0,3}[\[({<]\s{0,3}(?:at|arroba|@)\s{0,3}[\])}>]\s{0,3}", re.I)
 _DOT = re.compile(r"\s{0,3}[\[({<]\s{0,3}(?:dot|punkt|point|punto|\.)\s{0,3}[\])}>]\s{0,3}", re.I)
 _BARE = re.compile(r"(?<![\w.%+-])[A-Za-z0-9_%+.-]{1,64}\s{1,3}(?:at|arroba)\s{1,3}[A-Za-z0-9-]{1,63}(?:(?:\s{1,3}(?:dot|punkt|point|punto)\s{1,3}|\.)[A-Za-z0-9-]{1,63})+", re.I)

@@ -62,6 +62,7 @@ def test_query(spark):
         ("call plus one two one two five five five zero one nine nine today", "phone", "plus one two one two five five five zero one nine nine"),
         ("card four one one one one one one one one one one one one one one one ok", "card", "four one one one one one one one one one one one one one one one"),
         ("ip one nine two dot one six eight dot one dot one", "ip", "one nine two dot one six eight dot one dot one"),
+        ("ruf plus vier neun drei null fünf fünf fünf eins zwei an", "phone", "plus vier neun drei null fünf fünf fünf eins zwei"),
         ("host １９２.168.0.1", "ip", "１９２.168.0.1"),
         ("x 4111​1111​1111​1111 y", "card", "4111​1111​1111​1111"),
     ],
