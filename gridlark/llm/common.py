@@ -28,8 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch, unless the session sets fewer: texts are long, and a batch is held by both sides at once.
+BATCH_ROWS = 2_000
+
+
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package, wherever the driver was started."""
+    """Lets Python workers import this package, wherever the driver was started, and keeps their batches small."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)

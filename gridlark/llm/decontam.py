@@ -101,9 +101,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     carry = carry or []
     held = [f"carried_{i}" for i in range(len(carry))]
     kinds = dict(docs.dtypes)
+    # a text that comes along isn't sent twice
+    body = held[carry.index(text)] if text in carry and kinds[text] == "string" else "body"
     df = docs.select(
-        F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").cast("binary").alias("body"), F.lit(None).cast("array<int>").alias("spans"),
-        F.lit(None).cast("array<string>").alias("items"), *[F.col(f"`{c}`").alias(h) for c, h in zip(carry, held, strict=True)],
+        F.col(f"`{doc_id}`").alias("doc_id"), F.lit(None).cast("array<int>").alias("spans"), F.lit(None).cast("array<string>").alias("items"),
+        *[F.col(f"`{c}`").alias(h) for c, h in zip(carry, held, strict=True)], *([F.col(f"`{text}`").cast("string").alias("body")] if body == "body" else []),
     )
     head = f"doc_id {kinds[doc_id]}"
     tail = "".join(f", {h} {kinds[c]}" for c, h in zip(carry, held, strict=True))
@@ -111,8 +113,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
         part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == k)
         shared = spark.sparkContext.broadcast([(r[0], r[1].encode()) for r in part.toLocalIterator()])
         last = k == blocks - 1
-        schema = f"{head}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean{tail}" if last else f"{head}, body binary, spans array<int>, items array<string>{tail}"
-        df = df.mapInArrow(_pass(shared, window, last), schema)
+        between = f"{head}, spans array<int>, items array<string>{tail}{', body string' * (body == 'body')}"
+        schema = f"{head}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean{tail}" if last else between
+        df = df.mapInArrow(_pass(shared, window, last, body, held), schema)
     own = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     return df.select(*[F.col(c).alias(prefix + c) for c in own], *[F.col(h).alias(c) for c, h in zip(carry, held, strict=True)])
 
@@ -128,15 +131,15 @@ def _tests(key: str, shared, window: int) -> list[Searcher]:
     return _built[key]
 
 
-def _pass(shared, window: int, last: bool):
+def _pass(shared, window: int, last: bool, body: str, carried: list[str]):
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = _tests(key, shared, window)
         for batch in batches:
             n_words, spans, items = [], [], []
-            for body, had, own in zip(batch.column(1), batch.column(2), batch.column(3), strict=True):
-                words = words_of(body.as_py() or b"")
+            for text, had, own in zip(batch.column(body).cast(pa.binary()), batch.column("spans"), batch.column("items"), strict=True):
+                words = words_of(text.as_py() or b"")
                 flat = had.as_py() or []
                 found, ids = list(zip(flat[::2], flat[1::2], strict=True)), set(own.as_py() or [])
                 for t in tests:
@@ -144,18 +147,17 @@ def _pass(shared, window: int, last: bool):
                 n_words.append(len(words))
                 spans.append(found)
                 items.append(sorted(ids))
-            rest = [batch.column(i) for i in range(4, batch.num_columns)]
             if last:
                 hit = [covered(s) for s in spans]
-                columns = [
-                    pa.array(n_words, pa.int64()), pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]), pa.array([h > 0 for h in hit]),
-                ]
-                names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+                made = {
+                    "n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(hit, pa.int64()), "n_items": pa.array([len(x) for x in items], pa.int64()),
+                    "items_sha256": pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()), "contaminated": pa.array([h > 0 for h in hit], pa.bool_()),
+                }
             else:
-                columns = [batch.column(1), pa.array([[x for s in f for x in s] for f in spans], pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
-                names = ["body", "spans", "items"]
-            yield pa.record_batch([batch.column(0), *columns, *rest], names=["doc_id", *names, *batch.schema.names[4:]])
+                made = {"spans": pa.array([[x for s in f for x in s] for f in spans], pa.list_(pa.int32())), "items": pa.array(items, pa.list_(pa.string()))}
+            along = [*carried, *(["body"] if body == "body" and not last else [])]
+            columns = {"doc_id": batch.column("doc_id")} | made | {c: batch.column(c) for c in along}
+            yield pa.record_batch(list(columns.values()), names=list(columns))
 
     return run
 

@@ -245,6 +245,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id"
     carry = carry or []
     held = [f"carried_{i}" for i in range(len(carry))]
     kinds = dict(docs.dtypes)
+    # a text that comes along isn't sent twice
+    at = 1 + carry.index(text) if text in carry and kinds[text] == "string" else len(carry) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restored = restorer(costs_of.value)
@@ -252,14 +254,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id"
         known = weight.keys()
         for batch in batches:
             scores = []
-            for body in batch.column(1):
+            for body in batch.column(at):
                 z = base + sum(weight[w] for w in sorted(known & features(body.as_py() or "", restored)))
                 scores.append(1 / (1 + math.exp(-max(-40.0, min(40.0, z)))))
             yield pa.record_batch(
-                [batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), *[batch.column(i) for i in range(2, batch.num_columns)]],
-                names=["doc_id", "score", "predicted", *batch.schema.names[2:]],
+                [batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), *[batch.column(1 + i) for i in range(len(held))]],
+                names=["doc_id", "score", "predicted", *held],
             )
 
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), *[F.col(f"`{c}`").alias(h) for c, h in zip(carry, held, strict=True)])
+    rows = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), *[F.col(f"`{c}`").alias(h) for c, h in zip(carry, held, strict=True)],
+        *([F.col(f"`{text}`").cast("string").alias("text")] if at > len(carry) else []),
+    )
     schema = f"doc_id {kinds[doc_id]}, score double, predicted int" + "".join(f", {h} {kinds[c]}" for c, h in zip(carry, held, strict=True))
     return rows.mapInArrow(run, schema).select(*[F.col(c).alias(prefix + c) for c in ("doc_id", "score", "predicted")], *[F.col(h).alias(c) for c, h in zip(carry, held, strict=True)])
