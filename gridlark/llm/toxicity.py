@@ -223,7 +223,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: st
     vocabulary = sorted(r["word"] for r in chosen.select("word").toLocalIterator())
     place = {w: i for i, w in enumerate(vocabulary)}
     held = fitted.select("label", F.array_intersect("words", F.array(*map(F.lit, vocabulary)).cast("array<string>")).alias("words"))
-    weights = fit_logistic([(r["label"], sorted(place[w] for w in r["words"])) for r in held.toLocalIterator()], len(vocabulary))
+    # in an order of their own, so that reruns add up the same
+    weights = fit_logistic(sorted((r["label"], sorted(place[w] for w in r["words"])) for r in held.toLocalIterator()), len(vocabulary))
     return dict(zip(vocabulary, weights.tolist(), strict=False)), float(weights[-1])
 
 
