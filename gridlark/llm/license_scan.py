@@ -2,7 +2,8 @@
 
 A text's lines, its paragraphs and the text itself are the passages. A passage of n distinct bigrams can reach the
 coefficient t with a template of m only if n lies between m t / (2 - t) and m (2 - t) / t; templates out of these bounds
-are not compared. Everything happens within a row: there is no shuffle.
+are not compared, and a text that lacks all of a few words, of which every match must have one, has no passages at all.
+Everything happens within a row: there is no shuffle.
 """
 
 from __future__ import annotations
@@ -59,6 +60,21 @@ def bounds(m: int, threshold: float) -> tuple[int, int]:
     return ceil(m * threshold / (2 - threshold) - 1e-9), floor(m * (2 - threshold) / threshold + 1e-9)
 
 
+def anchors(known: list[tuple[list[str], int]], threshold: float) -> list[str]:
+    """Words of which every text that reaches the threshold has one at least. known: bigrams of a template, and the least
+    number of bigrams of a passage that can reach it.
+
+    Such a passage shares c = t (n + m) / 2 of a template's m bigrams at least, so of any m - c + 1 it has one. Those with
+    the longest words are the fewest elsewhere; the longer word of each is an anchor.
+    """
+    out = set()
+    for pairs, low in known:
+        shared = ceil(threshold * (low + len(pairs)) / 2 - 1e-9)
+        longest = sorted((max(p.split(" "), key=len) for p in pairs), key=lambda w: (-len(w), w))
+        out.update(longest[: len(pairs) - shared + 1])
+    return sorted(out)
+
+
 def _bigrams(passage: Column) -> Column:
     words = F.filter(F.split(passage, "[ \n]"), lambda w: w != "")
     # zip_with pads the shorter array by null, and a null makes the last pair null
@@ -79,11 +95,15 @@ def scan_licenses(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     known = [(name, pairs, *bounds(len(pairs), threshold)) for name, pairs in known if pairs]
     clean = F.regexp_replace(F.translate(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), _UPPER, _LOWER), _BETWEEN, " ")
     nothing = F.array().cast("array<string>")
-    passages = F.concat(
-        F.split("clean", "\n"),
-        F.when(F.col("clean").rlike(r"\n *\n"), F.split("clean", r"\n *\n")).otherwise(nothing),
-        F.when(F.instr("clean", "\n") > 0, F.array("clean")).otherwise(nothing),
-    )
+    anchored = F.arrays_overlap(F.split("clean", "[ \n]+"), F.array(*map(F.lit, anchors([k[1:3] for k in known], threshold))).cast("array<string>"))
+    passages = F.when(
+        anchored,
+        F.concat(
+            F.split("clean", "\n"),
+            F.when(F.col("clean").rlike(r"\n *\n"), F.split("clean", r"\n *\n")).otherwise(nothing),
+            F.when(F.instr("clean", "\n") > 0, F.array("clean")).otherwise(nothing),
+        ),
+    ).otherwise(nothing)
     low, high = min([k[2] for k in known], default=1), max([k[3] for k in known], default=0)
 
     def best(pairs: Column) -> Column:
