@@ -19,8 +19,16 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]{16,}", 0),
     ("hex", r"[0-9a-f]{24,}", 0),
 )
+#: A private key from its header on: to the END line if nothing but the body stands before it, else to the end of the
+#: lines of base64 (parted by white space, escaped line ends, quotes or marks of comments), or the header alone.
+_GAP = r"""(?:\s|\\+[nrt]|["'],?\s*+\+?\s*+["']|[>#*|,"'])"""
+_KEY = (
+    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+    r"(?:[^-]*+(?:-{1,4}+[^-]++)*+-----END [A-Z ]{0,30}PRIVATE KEY-----"
+    rf"|(?:\s*+(?:Proc-Type|DEK-Info|Version|Comment):[^\n\\]*+)*+(?:{_GAP}*+[A-Za-z0-9+/]{{16,}}+={{0,2}}+)++(?:{_GAP}++[A-Za-z0-9+/]++={{1,2}}+)?+)?+"
+)
 ADDED = (
-    ("private", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 0),
+    ("private", _KEY, 0),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0),
     ("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0),
     ("cloud", r"AIza[0-9A-Za-z_-]{35}", 0),
@@ -29,6 +37,9 @@ ADDED = (
 #: One look for any of the added kinds; only texts that have a mark are searched for them.
 MARKS = r"-----BEGIN|gh[pousr]_|xox[abprs]-|AIza|\.eyJ"
 
+#: What of a private key isn't its body: the lines around it, escaped line ends, and whatever isn't base64.
+_NO_BODY = r"-----(?:BEGIN|END) [A-Z ]{0,30}PRIVATE KEY-----|\\+[nrt]|[^A-Za-z0-9+/=_]"
+
 #: A value that so many owners have is a copied example.
 SHARED_OWNERS = 3
 
@@ -42,6 +53,8 @@ def _pieces(text: Column, kind: str, pattern: str, group: int, maybe: Column | N
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = matches if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    if kind == "private":  # the same key, however it is wrapped, is one value; without a body the header is
+        values = F.transform(values, lambda x: F.coalesce(F.nullif(F.regexp_replace(x, _NO_BODY, ""), F.lit("")), x))
     zipped = F.arrays_zip(
         F.slice(gaps, F.lit(1), F.size(matches)).alias("gap"), F.transform(matches, F.length).alias("length"), values.alias("value")
     )
@@ -108,7 +121,8 @@ def _joined(order: list[str], only: Column | None = None) -> Column:
 def find_secrets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
     """A row per row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example.
 
-    The counts and the digest are of the base kinds, spans has the added kinds too, by start, then kind. n_live counts
+    The counts and the digest are of the base kinds, spans has the added kinds too, by start, then kind; a private key's
+    span runs from header to END line, its value is the body. n_live counts
     spans whose value looks random and stands with fewer than SHARED_OWNERS owners, n_example those of values that at
     least so many owners have. Offsets count code points. A null text counts as empty, a null owner or repository is
     one called ''; repeated rows get a row each; an empty table gives none. Columns besides the four that are named are
