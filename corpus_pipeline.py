@@ -36,7 +36,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a credential that looks live: random, and with one or two owners over the corpus."""
+    """Documents without a credential that looks live: random, with one or two owners and in few documents over the corpus."""
     return secret_scan.rows_without_live(docs)
 
 

@@ -2,8 +2,8 @@
 
 A pattern cuts a text into what stands between its matches and the matches; the lengths of both, summed up along the
 text, are the offsets. Only lengths and matched values leave the scan. Candidates are then counted by value over the
-corpus: a value that stands in documents of several owners is a copied example, one that a single owner has and that
-looks random is taken for live.
+corpus: a value that stands with several owners, or in many repositories of few, is a copied example; one that a single
+owner has in a few repositories and that looks random is taken for live.
 """
 
 from __future__ import annotations
@@ -40,8 +40,8 @@ MARKS = r"-----BEGIN|gh[pousr]_|xox[abprs]-|AIza|\.eyJ"
 #: What of a private key isn't its body: the lines around it, escaped line ends, and whatever isn't base64.
 _NO_BODY = r"-----(?:BEGIN|END) [A-Z ]{0,30}PRIVATE KEY-----|\\+[nrt]|[^A-Za-z0-9+/=_]"
 
-#: A value that so many owners have is a copied example.
-SHARED_OWNERS = 3
+#: A value that so many owners have, or so many repositories under however few owners, is a copied example.
+SHARED_OWNERS, SHARED_REPOSITORIES = 3, 10
 
 #: Least Shannon entropy, in bits a character, of a value that looks live.
 LIVE_BITS = 2.5
@@ -109,8 +109,9 @@ def ownership(found: DataFrame) -> DataFrame:
     """By hash: n_owners, n_repositories, distinct. Repeats go before the shuffle by hash, so a value that stands
     everywhere costs a row for each owner and repository and task at most."""
     pairs = found.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
-    by_owner = pairs.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
-    return by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repositories"))
+    # a repository under several owners is one: of each owner's and each repository's rows, one counts
+    each = [pairs.groupBy("hash", c).agg(F.lit(1).alias("one")).select("hash", *[F.lit(int(c == k)).alias(k) for k in ("owner", "repository")]) for c in ("owner", "repository")]
+    return each[0].unionAll(each[1]).groupBy("hash").agg(F.sum("owner").alias("n_owners"), F.sum("repository").alias("n_repositories"))
 
 
 def _joined(order: list[str], only: Column | None = None) -> Column:
@@ -123,14 +124,14 @@ def find_secrets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     The counts and the digest are of the base kinds, spans has the added kinds too, by start, then kind; a private key's
     span runs from header to END line, its value is the body. n_live counts
-    spans whose value looks random and stands with fewer than SHARED_OWNERS owners, n_example those of values that at
-    least so many owners have. Offsets count code points. A null text counts as empty, a null owner or repository is
+    spans whose value looks random and stands with fewer than SHARED_OWNERS owners and in fewer than SHARED_REPOSITORIES
+    repositories, n_example those of values that at least so many have of either. Offsets count code points. A null text counts as empty, a null owner or repository is
     one called ''; repeated rows get a row each; an empty table gives none. Columns besides the four that are named are
     not read.
     """
     rows, found = candidates(docs, doc_id=doc_id, text=text, owner=owner, repository=repository)
     # of its own, so that a value that stands everywhere can be split in the join, or the join be a broadcast
-    examples = checkpointed(ownership(found).filter(F.col("n_owners") >= SHARED_OWNERS).select("hash", "n_owners"))
+    examples = checkpointed(ownership(found).filter((F.col("n_owners") >= SHARED_OWNERS) | (F.col("n_repositories") >= SHARED_REPOSITORIES)))
     judged = found.join(small(examples, examples.count()), "hash", "left")
     shared = F.col("n_owners").isNotNull()
     base = F.col("order") < len(BASE)

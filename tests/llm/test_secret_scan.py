@@ -72,6 +72,16 @@ def test_private_keys_are_told_apart_by_their_bodies(spark):
     assert g["spans"].count("private") == 3 and g["n_live"] == 3
 
 
+def test_many_repositories_of_one_owner_make_an_example(spark):
+    n = secret_scan.SHARED_REPOSITORIES
+    rows = [(i, "see token=Zx81kQpa93Lm", "s1") for i in range(n)] + [(100 + i, "use token=qW3rT9uIoP1a", "s1") for i in range(n - 1)] + [(200, "password=mN7bV4cX2zLk " * 50, "s2")]
+    got = {g["doc_id"]: g for g in check(spark, rows)}
+    assert all((got[i]["n_live"], got[i]["n_example"]) == (0, 1) for i in range(n))
+    assert all((got[100 + i]["n_live"], got[100 + i]["n_example"]) == (1, 0) for i in range(n - 1)) and got[200]["n_live"] == 50
+    _, found = secret_scan.candidates(docs(spark, [(1, "token=Zx81kQpa93Lm", "a"), (1, "token=Zx81kQpa93Lm", "b"), (2, "token=Zx81kQpa93Lm", "b")]))
+    assert [(r["n_owners"], r["n_repositories"]) for r in collected(secret_scan.ownership(found))] == [(2, 2)]
+
+
 def test_empty_and_native(spark):
     assert collected(secret_scan.find_secrets(docs(spark, []))) == []
     plan = secret_scan.find_secrets(docs(spark))._jdf.queryExecution().executedPlan().toString()
