@@ -4,6 +4,9 @@ A text's lines, its paragraphs and the text itself are the passages. A passage o
 coefficient t with a template of m only if n lies between m t / (2 - t) and m (2 - t) / t; templates out of these bounds
 are not compared, and a text that lacks all of a few words, of which every match must have one, has no passages at all.
 Everything happens within a row: there is no shuffle.
+
+A notice that goes over several lines or paragraphs, beside other text, is a run of consecutive lines. Runs are looked
+at only where the text as a whole has so many of a template's bigrams as a match must share.
 """
 
 from __future__ import annotations
@@ -76,17 +79,53 @@ def anchors(known: list[tuple[list[str], int]], threshold: float) -> list[str]:
 
 
 def _bigrams(passage: Column) -> Column:
-    words = F.filter(F.split(passage, "[ \n]"), lambda w: w != "")
+    return _pairs(F.filter(F.split(passage, "[ \n]"), lambda w: w != ""))
+
+
+def _pairs(words: Column) -> Column:
     # zip_with pads the shorter array by null, and a null makes the last pair null
     pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
     return F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
 
 
+def _with_lines(df: DataFrame, kept: list[str], wanted: Column) -> DataFrame:
+    """kept and lines, null where wanted isn't true: (own, on) for each line that has words, its bigrams and those with
+    the one to the next line's first word.
+
+    Of equal lines one after the other two are kept: more give a run no other bigrams. Each step is a column of its own,
+    for what a lambda looks at is otherwise made anew for each element.
+    """
+    words = F.filter(F.transform(F.split("clean", "\n"), lambda x: F.filter(F.split(x, " "), lambda w: w != "")), lambda w: F.size(w) > 0)
+    again = lambda w, i: (i > 1) & (F.get("all", i - 1) == w) & (F.get("all", i - 2) == w)
+    first = lambda i: F.slice(F.coalesce(F.get("few", i + 1), F.array().cast("array<string>")), 1, 1)
+    both = F.transform("few", lambda w, i: F.struct(_pairs(w).alias("own"), _pairs(F.concat(w, first(i))).alias("on")))
+    return df.select(*kept, F.when(wanted, words).alias("all")).select(*kept, F.filter("all", lambda w, i: ~again(w, i)).alias("few")).select(*kept, both.alias("lines"))
+
+
+def _best_run(lines: Column, own: list[str], least: int, most: int) -> Column:
+    """The greatest coefficient of a run of lines with a template. A run begins where the template is met, for a line
+    without its bigrams only lowers it, and grows line by line until it has too many bigrams."""
+    wanted = F.array(*map(F.lit, own))
+
+    def grown(run: Column, line: Column) -> Column:
+        seen = F.array_union(run["seen"], line["own"])
+        dice = F.lit(2.0) * F.size(F.array_intersect(seen, wanted)) / (F.size(seen) + F.lit(len(own)))
+        more = F.struct(
+            F.array_union(run["seen"], line["on"]).alias("seen"),
+            F.greatest(run["dice"], F.when(F.size(seen).between(least, most), dice).otherwise(F.lit(0.0))).alias("dice"),
+        )
+        return F.when(F.size(run["seen"]) > most, run).otherwise(more)
+
+    nothing = F.struct(F.array().cast("array<string>").alias("seen"), F.lit(0.0).alias("dice"))
+    met = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: F.arrays_overlap(F.get(lines, i - 1)["on"], wanted))
+    return F.array_max(F.transform(met, lambda i: F.aggregate(F.slice(lines, i, F.size(lines)), nothing, grown, lambda run: run["dice"])))
+
+
 def scan_licenses(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """A row per document: doc_id, license, dice, n_passages.
 
-    license is the template of the greatest coefficient that a passage reaches, the first by name among equals, and
-    dice the coefficient; both are null if none reaches the threshold. n_passages counts passages that reach it with any
+    license is the template of the greatest coefficient that a passage or a run of lines reaches, the first by name among
+    equals, and dice the coefficient; both are null if none reaches the threshold. n_passages counts passages that reach it with any
     template: lines, paragraphs between empty lines if there are several, and the whole if it has several lines. Null and
     empty texts have none; repeated rows get a row each; an empty table gives none. Columns besides the two that are
     named are not read.
@@ -116,11 +155,25 @@ def scan_licenses(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
 
     sized = F.filter(F.transform(passages, _bigrams), lambda p: F.size(p).between(low, high))
     reached = F.filter(F.transform(sized, best), lambda b: b["dice"] >= threshold)
+    # all bigrams of a run are the text's: few texts have what a match with a template must share
+    every = F.array(*map(F.lit, sorted({p for k in known for p in k[1]}))).cast("array<string>")
+    shared = F.when(anchored & (F.instr("clean", "\n") > 0), F.array_intersect(_bigrams(F.col("clean")), every)).otherwise(nothing)
+    enough = [F.size(F.array_intersect("shared", F.array(*map(F.lit, own)))) >= ceil(threshold * (least + len(own)) / 2 - 1e-9) for _, own, least, _ in known]
+    fit = F.filter(F.array(*[F.when(e, F.lit(place)) for place, e in enumerate(enough)]).cast("array<int>"), lambda x: x.isNotNull())
+    runs = F.array(*[
+        F.when(F.array_contains("fit", place), F.struct(_best_run(F.col("lines"), own, least, most).alias("dice"), F.lit(-place).alias("place")))
+        for place, (_, own, least, most) in enumerate(known)
+    ]).cast("array<struct<dice:double,place:int>>")
     names = F.array(*[F.lit(k[0]) for k in known]).cast("array<string>")
-    return (
+    looked = (
         docs.select(F.col(f"`{doc_id}`").alias("doc_id"), clean.alias("clean"))
-        .select("doc_id", reached.alias("reached"))
-        .select("doc_id", F.array_max("reached").alias("top"), F.size("reached").cast("long").alias("n_passages"))
+        .select("doc_id", "clean", reached.alias("reached"), shared.alias("shared"))
+        .select("doc_id", "clean", "reached", fit.alias("fit"))
+    )
+    return (
+        _with_lines(looked, ["doc_id", "reached", "fit"], F.size("fit") > 0)
+        .select("doc_id", F.size("reached").cast("long").alias("n_passages"), F.when(F.size("fit") > 0, F.concat("reached", F.filter(runs, lambda b: b["dice"] >= threshold))).otherwise(F.col("reached")).alias("reached"))
+        .select("doc_id", F.array_max("reached").alias("top"), "n_passages")
         .select("doc_id", F.get(names, -F.col("top.place")).alias("license"), F.col("top.dice").alias("dice"), "n_passages")
     )
 

@@ -43,6 +43,33 @@ def test_like_brute_force(spark):
     assert {g["license"] for g in got if 100 <= (g["doc_id"] or 0) < 200} == set(license_scan.TEMPLATES)
 
 
+def test_notices_over_several_paragraphs_beside_other_text(spark):
+    code = "\n".join(f"def function{i}(argument{i}): return value{i} of the thing" for i in range(400))
+    apache = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+    first, rest = license_scan.TEMPLATES["BSD-2-Clause"].split(" 1. ")
+    one, two = rest.split(" 2. ")
+    bsd = f"""Copyright (c) 2020, Someone\n\n{first}\n\n1. {one}\n\n2. {two}\n
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.
+IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY,
+OR CONSEQUENTIAL DAMAGES HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY."""
+    starred = "/*\n" + "\n".join(f" * {x}" for x in ("Copyright 2020 Someone\n\n" + apache).split("\n")) + "\n */\n"
+    rows = [(1, starred + code, "s"), (2, code + "\n" + apache + "\n" + code, "s"), (3, bsd, "s"), (4, bsd + "\n\n" + code, "s"), (5, code, "s"), (6, "Released under\nthe MIT License.\n" + "x y\n" * 2000, "s")]
+    got = {g["doc_id"]: g for g in collected(license_scan.scan_licenses(docs(spark, rows)))}
+    assert [got[i]["license"] for i in range(1, 7)] == ["Apache-2.0", "Apache-2.0", "BSD-2-Clause", "BSD-2-Clause", None, "MIT notice"]
+    assert [got[i]["dice"] for i in (1, 2, 4, 6)] == [1.0, 1.0, got[3]["dice"], 1.0]
+
+
 def test_bounds_lose_nothing():
     for m in range(1, 200):
         low, high = license_scan.bounds(m, 0.8)
