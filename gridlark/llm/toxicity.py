@@ -11,6 +11,7 @@ The word model is a logistic regression over the words that tell toxic documents
 from __future__ import annotations
 
 import math
+import os.path
 import re
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ FIT_DOCUMENTS = 20_000
 VOCABULARY, LEAST_DOCUMENTS = 512, 4
 #: Channel costs in nats: a sign for a letter or for a word break, a letter repeated, a separator inside a word, a dropped place.
 SUBSTITUTE, BREAK, REPEAT, SPACED, DROP = 1.0, 3.0, 0.5, 0.5, 9.0
-#: Longer stretches are decoded piece by piece, a word break between.
+#: After so many places what all paths share is put out, so that memory and time don't grow with a stretch's square.
 STRETCH = 64
 
 #: Classes of the character model: 0 for a word break, 1 to 26 for letters, 27 for any byte of another letter.
@@ -40,8 +41,12 @@ _CLASS[ord("a") : ord("z") + 1] = _CLASS[ord("A") : ord("Z") + 1] = np.arange(1,
 _CLASS[128:] = 27
 
 _SIGN = re.compile("[0-9" + re.escape("".join(k for k in LEET if not k.isdigit())) + "]")
-_SPACED = re.compile(r"(?<![^ ._*~\n-])[^\W\d_](?:[ ._*~-]{1,2}[^\W\d_](?![^\W_])){2,}")
-_MAYBE_SPACED = re.compile(r"[ ._*~-][^\W\d_][ ._*~-]{1,2}[^\W\d_][\W_]|^[^\W\d_][ ._*~-]{1,2}[^\W\d_][\W_]")
+# single letters, digits or signs, parted alike; a quote, bracket or the like may stand before the first
+_UNIT = r"(?:[^\W_]|[" + re.escape("".join(k for k in LEET if not k.isdigit() and LEET[k])) + r"])(?![^\W_])"
+_PART = r"(?:[ \t]++[._*~/,-]?[ \t]*+|[._*~/,-]{1,2}+[ \t]*+)"
+_SPACED = re.compile(rf"(?<![^\W_])(?<![^\W_]['’]){_UNIT}(?:{_PART}{_UNIT}){{2,}}")
+_MAYBE_SPACED = re.compile(rf"[ \t._*~/,-]{_UNIT}[ \t._*~/,-]++{_UNIT}")
+_PARTS = re.compile(r"[ \t._*~/,-]+")
 _REPEATED = re.compile(r"([^\W\d_])\1\1")
 _EDGES = ".,;:?!\"'()[]{}<>|*+-_#&%=/\\"
 
@@ -88,7 +93,12 @@ def decode(stretch: str, costs: list[float]) -> str:
     # state: classes of the last two characters put out; value: cost, reading
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     before = ""
-    for c in stretch:
+    done = ""
+    for at, c in enumerate(stretch):
+        if at and at % STRETCH == 0:
+            same = os.path.commonprefix([reading for _, reading in states.values()])
+            done += same
+            states = {k: (cost, reading[len(same) :]) for k, (cost, reading) in states.items()}
         if c.isalpha():
             offers = [(c, 0.0)] + ([("", REPEAT)] if c == before else [])
         elif c in LEET:
@@ -110,7 +120,7 @@ def decode(stretch: str, costs: list[float]) -> str:
                 if state not in new or total < new[state][0]:
                     new[state] = (total, put)
         states, before = new, c
-    return min((cost + costs[(a * CLASSES + b) * CLASSES], reading) for (a, b), (cost, reading) in states.items())[1]
+    return done + min((cost + costs[(a * CLASSES + b) * CLASSES], reading) for (a, b), (cost, reading) in states.items())[1]
 
 
 def restorer(costs: list[float]):
@@ -118,6 +128,8 @@ def restorer(costs: list[float]):
     known: dict[str, list[str]] = {}
 
     def read(stretch: str) -> list[str]:
+        if len(stretch) > STRETCH:
+            return decode(stretch, costs).split()
         if stretch not in known:
             if len(known) > 50_000:
                 known.clear()
@@ -127,15 +139,21 @@ def restorer(costs: list[float]):
     def restored(low: str, plain: set[bytes]) -> list[str]:
         stretches = [t for t in _signed(low)]
         if _MAYBE_SPACED.search(low):
-            stretches += [m[0] for m in _SPACED.finditer(low)]
+            stretches += [_narrowed(m[0]) for m in _SPACED.finditer(low) if any(c.isalpha() for c in m[0])]
         own = b" ".join(plain).decode()
         if _REPEATED.search(own):
             stretches += [w for w in sorted(own.split()) if _REPEATED.search(w) and w.isalpha()]
-        return [w for s in stretches for i in range(0, len(s), STRETCH) for w in read(s[i : i + STRETCH])]
+        return [w for s in stretches for w in read(s)]
 
     return restored
 
 
+def _narrowed(spaced: str) -> str:
+    """A spelled stretch with the narrowest parts between its letters as one place each, wider ones as they are."""
+    least = min(len(x) for x in _PARTS.findall(spaced))
+    return _PARTS.sub(lambda m: m[0][0] if len(m[0]) == least else m[0], spaced)
+
+
 def _signed(low: str) -> Iterator[str]:
     """The pieces between white space that have letters and, between or before them, signs or digits."""
     end = 0

@@ -98,6 +98,23 @@ def test_restoring():
     assert restored("plain words only", {b"plain", b"words", b"only"}) == []
 
 
+def test_restoring_spelled_disguises_and_long_stretches():
+    text = ("the moron and the idiot met a clown by the river " * 200).encode()
+    c = toxicity._CLASS[np.frombuffer(text, np.uint8)]
+    c = np.concatenate(([0, 0], c, [0]))
+    counts = np.bincount((c[:-2] * toxicity.CLASSES + c[1:-1]) * toxicity.CLASSES + c[2:], minlength=toxicity.CLASSES**3).astype(float)
+    costs = toxicity.character_costs(counts)
+    restored = toxicity.restorer(costs)
+    shown = [("m 0 r 0 n", "moron"), ("1 d 1 0 t", "idiot"), ("c l 0 w n", "clown"), ("m/o/r/o/n", "moron"), ("m,o,r,o,n", "moron"), ("c   l   o   w   n", "clown"), ('"m o r o n"', "moron"), ("(i d i o t)", "idiot")]
+    for s, meant in shown:
+        assert meant.encode() in toxicity.features(f"xx {s} yy", restored), s
+    for lead in range(70):  # wherever a step ends, the words come out whole
+        long = " ".join("ab"[k % 2] for k in range(lead)) + "  " + "  ".join(" ".join(w) for w in ("the", "moron", "met", "the", "idiot", "by", "the", "clown") * 3)
+        words = restored(long, set())
+        assert [words.count(w) for w in ("moron", "idiot", "clown")] == [3, 3, 3], lead
+    assert restored("1 2 3 4 and 5, 6, 7", {b"and"}) == []
+
+
 def test_gradient_is_right():
     r = np.random.default_rng(3)
     x, starts, y = r.normal(size=(9, quality.WIDTH)), np.array([0, 4, 5]), np.array([1.0, 0.0, 1.0])
