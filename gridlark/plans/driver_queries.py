@@ -247,6 +247,23 @@ CHANGES: dict[str, tuple[tuple[str, ...], str, str]] = {
     ),
 }
 
+#: Over whole tables, what the queries of these names without _whole show on a part of the rows.
+SELECTS |= {
+    "where_3vl_whole": (
+        "WITH t AS (SELECT o_orderkey, NULLIF(o_orderstatus, 'F') AS st FROM orders) SELECT o_orderkey FROM t WHERE NOT (st = 'O') OR st IS NULL",
+        None,
+    ),
+    "not_parens_whole": ("SELECT o_orderkey FROM orders WHERE NOT (o_orderstatus = 'O' AND (o_totalprice > 50000 OR o_custkey < 50))", None),
+    "arithmetic_whole": ("SELECT l_orderkey, l_linenumber, l_quantity * 2 + 1 - l_tax / 4 AS a, -l_quantity AS b FROM lineitem", None),
+    "order_multi_whole": ("SELECT c_custkey, c_mktsegment, c_acctbal FROM customer ORDER BY c_mktsegment DESC, c_acctbal, c_custkey", None),
+    "order_nulls_whole": (
+        "WITH t AS (SELECT n_nationkey, NULLIF(n_regionkey, 2) AS k FROM nation) SELECT n_nationkey, k FROM t ORDER BY k DESC, n_nationkey",
+        "SELECT n_nationkey, nullif(n_regionkey, 2) AS k FROM nation ORDER BY k DESC NULLS FIRST, n_nationkey",
+    ),
+    "order_expression_whole": ("SELECT o_orderkey FROM orders ORDER BY o_totalprice * -1, o_orderkey", None),
+}
+
+
 def _select(sql: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: engine(spark, sf_dir, sql).sql(sql)
 
