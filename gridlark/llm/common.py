@@ -9,8 +9,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A DataFrame of at most so many narrow rows may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 100_000
+#: A DataFrame may be broadcast up to so many bytes and rows, both measured; beyond it the join shuffles.
+BROADCAST_BYTES, BROADCAST_ROWS = 16 << 20, 250_000
 
 #: Words are lower-cased (A-Z only) maximal runs of what is neither an ASCII separator nor punctuation.
 _WORD_BYTES = bytes(
@@ -59,9 +59,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """df with a broadcast hint if rows, its counted size, is within BROADCAST_ROWS."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row, about: of its texts, binaries and nested columns, and a few for each column."""
+    known = F.lit(16 * len(df.columns)).cast("long")
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            known += F.coalesce(F.octet_length(column), F.lit(0))
+        elif "<" in kind:
+            known += F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+    return known
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, which is written out or cheap to make, with a broadcast hint if its measured size is within the bound."""
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_width(df))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else df
 
 
 def crc_remainder(column: str, n: int) -> Column:

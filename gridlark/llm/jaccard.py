@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.llm.common import _WORD_BYTES, BROADCAST_ROWS, checkpointed, small
+from gridlark.llm.common import _WORD_BYTES, checkpointed, small
 
 WORDS, THRESHOLD = 5, 0.8
 #: Signature: 24 bands of 4 values. A pair at the threshold shares no band with probability (1 - 0.8 ** 4) ** 24 = 3e-6.
@@ -304,7 +304,7 @@ def _fetched(docs: DataFrame, active: DataFrame, words: int) -> DataFrame:
             yield out.filter(pa.array(keep, pa.bool_()))
 
     texts = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "th", "body")
-    joined = texts.join(F.broadcast(active) if active.count() <= BROADCAST_ROWS else active, ["key", "th"])
+    joined = texts.join(small(active), ["key", "th"])
     return joined.select("body", "class", "group", "members", "copies", "signature").mapInArrow(
         run, "class binary, group binary, members long, copies long, signature binary, shingles binary"
     )
@@ -351,7 +351,7 @@ def _linked(docs: DataFrame, doc_id: str, text: str, words: int, threshold: floa
         .select("class", F.coalesce("lead", "own").alias("lead"), (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("links"))
     )
     # written out, so that a text that stands everywhere can be split in the join, or the join be a broadcast
-    return rows.select("doc_id", "th", "class", "n").join(small(told, told.count()), "class", "left")
+    return rows.select("doc_id", "th", "class", "n").join(small(told), "class", "left")
 
 
 def _body(text: str) -> Column:
@@ -390,11 +390,11 @@ def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     leads = (F.col("th") == F.col("lead.th")) & F.col("doc_id").eqNullSafe(F.col("lead.doc_id"))
     gone = linked.filter(~leads).select(*held).distinct()
     again = linked.filter(leads).groupBy(*held).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*names)
-    n_gone, n_again = gone.count(), again.count()
+    n_again = again.count()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept_row"), *key)
-    kept = rows.join(small(gone, n_gone), names, "left_anti")
+    kept = rows.join(small(gone), names, "left_anti")
     if n_again:  # only rows that repeat an id and a text meet in a shuffle, one of them for each task
-        twice = small(again, n_again)
+        twice = small(again)
         once = kept.join(twice, names, "left_anti")
         kept = once.unionByName(kept.join(twice, names, "left_semi").dropDuplicates(names).select(*kept.columns))
     return kept.select(*[F.col(f"kept_row.`{c}`").alias(c) for c in docs.columns])

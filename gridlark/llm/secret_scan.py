@@ -132,7 +132,7 @@ def find_secrets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     rows, found = candidates(docs, doc_id=doc_id, text=text, owner=owner, repository=repository)
     # of its own, so that a value that stands everywhere can be split in the join, or the join be a broadcast
     examples = checkpointed(ownership(found).filter((F.col("n_owners") >= SHARED_OWNERS) | (F.col("n_repositories") >= SHARED_REPOSITORIES)))
-    judged = found.join(small(examples, examples.count()), "hash", "left")
+    judged = found.join(small(examples), "hash", "left")
     shared = F.col("n_owners").isNotNull()
     base = F.col("order") < len(BASE)
     names = [k for k, _, _ in (*BASE, *ADDED)]
@@ -155,4 +155,4 @@ def rows_without_live(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     """The rows of docs whose id has no row with a live-looking secret; columns as they are. Rows without an id stay."""
     found = find_secrets(docs, doc_id=doc_id, text=text, owner=owner, repository=doc_id)
     live = checkpointed(found.filter("n_live > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("live")).distinct())
-    return docs.join(small(live, live.count()), F.col(f"`{doc_id}`") == F.col("live"), "left_anti")
+    return docs.join(small(live), F.col(f"`{doc_id}`") == F.col("live"), "left_anti")
