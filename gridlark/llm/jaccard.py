@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from math import comb
 
 import numpy as np
@@ -55,7 +56,10 @@ def shingles(data: bytes, words: int = WORDS) -> np.ndarray:
         return np.zeros(0, np.uint64)
     length = edge[1::2] - starts
     place = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-    letters = (raw[inside].astype(np.uint64) + np.uint64(1)) * _PLACES[place & 1023]
+    weights = _PLACES[place & 1023]
+    if int(place.max()) > 1023:  # the first places of every word keep their weights
+        weights = weights + (_mix((place >> 10).astype(np.uint64)) << np.uint64(1))
+    letters = (raw[inside].astype(np.uint64) + np.uint64(1)) * weights
     word = _mix(np.add.reduceat(letters, np.cumsum(length) - length))
     n = min(words, len(word))
     run = np.full(len(word) - n + 1, n, np.uint64)
@@ -213,27 +217,31 @@ def _forests(tiled: DataFrame, least: list[int]) -> DataFrame:
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an edge, root the least node of its component: large and small stars in turn.
 
-    Each round every edge moves to the least neighbour of its larger, then of its smaller end, until none moves; rounds
-    are written to the checkpoint folder.
+    Each round every edge moves to the least neighbour of its larger, then of its smaller end. Components that are one
+    star about their least node are done and leave the graph, before the first round, too; the rounds end when none is
+    left. A node may have a neighbour in every row, so what the edges are joined to is summed up within tasks and written
+    out before: those joins are broadcasts, or their large keys can be split.
     """
-
-    def sums(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
     edges = checkpointed(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v").distinct())
-    state = sums(edges)
-    while state[0]:
-        both = edges.union(edges.select("v", "u"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        moved = small.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m"))
-        edges = checkpointed(moved.distinct())
-        before, state = state, sums(edges)
-        if before == state:
+    done = []
+    while True:
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+        bent = checkpointed(ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR up > 0 AND down > 0"))
+        if not bent.limit(1).count():
+            done.append(edges)
             break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
+        touched = edges.join(small(bent.select(F.col("node").alias("u"))), "u", "left_semi").select("v")
+        centres = small(checkpointed(touched.union(bent.filter("down > 0").select("node")).distinct()))
+        done.append(edges.join(centres, "v", "left_anti").select("u", "v"))
+        edges = checkpointed(edges.join(centres, "v", "left_semi").select("u", "v"))
+        both = edges.union(edges.select("v", "u"))
+        low = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = checkpointed(both.join(small(low), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct())
+        least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
+        moved = large.join(small(least), "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = checkpointed(moved.union(least.select("u", "m")).distinct())
+    found = reduce(DataFrame.union, done)
+    return found.select(F.col("u").alias("node"), F.col("v").alias("root")).union(found.select("v", "v").distinct())
 
 
 def intersections(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -293,8 +301,9 @@ def _verified(tiled: DataFrame, least: list[int], threshold: float) -> DataFrame
     return held.mapInArrow(run, "class binary, links long, root binary")
 
 
-def _fetched(docs: DataFrame, active: DataFrame, words: int) -> DataFrame:
-    """The classes' shingle sets, from the texts of their first documents."""
+def _fetched(docs: DataFrame, active: DataFrame, again: DataFrame, words: int) -> DataFrame:
+    """The classes' shingle sets, from the text of their first documents. again: the classes whose first document is
+    several rows; of their texts each task passes on one before they meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,11 +312,15 @@ def _fetched(docs: DataFrame, active: DataFrame, words: int) -> DataFrame:
             out = pa.record_batch([*batch.columns[1:], pa.array([s.tobytes() for s in sets], pa.binary())], names=[*batch.schema.names[1:], "shingles"])
             yield out.filter(pa.array(keep, pa.bool_()))
 
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "th", "body")
-    joined = texts.join(small(active), ["key", "th"])
-    return joined.select("body", "class", "group", "members", "copies", "signature").mapInArrow(
-        run, "class binary, group binary, members long, copies long, signature binary, shingles binary"
-    )
+    names = ["class", "group", "members", "copies", "signature"]
+    texts = docs.select(_id_text("doc_id").alias("key"), "th", "body")
+    if again.limit(1).count():
+        once, twice = checkpointed(active.join(small(again), "class", "left_anti")), checkpointed(active.join(small(again), "class", "left_semi"))
+        one = texts.join(small(twice), ["key", "th"]).groupBy("class").agg(F.first("body").alias("body"), *[F.first(c).alias(c) for c in names[1:]])
+        joined = texts.join(small(once), ["key", "th"]).select("body", *names).unionByName(one.select("body", *names))
+    else:
+        joined = texts.join(small(active), ["key", "th"]).select("body", *names)
+    return joined.mapInArrow(run, "class binary, group binary, members long, copies long, signature binary, shingles binary")
 
 
 def _linked(docs: DataFrame, doc_id: str, text: str, words: int, threshold: float) -> DataFrame:
@@ -324,17 +337,20 @@ def _linked(docs: DataFrame, doc_id: str, text: str, words: int, threshold: floa
     )
     band = lambda k: F.xxhash64(F.lit(k), F.substring("signature", 1 + 2 * ROWS * k, 2 * ROWS))
     banded = classes.select("class", F.explode(F.array(*map(band, range(BANDS)))).alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    candidates = banded.join(shared, "bucket").join(classes.select("class", "signature"), "class")
+    # what is joined by a key that many rows may share is written out before, so that the join can split that key
+    shared = checkpointed(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"))
+    candidates = banded.join(small(shared), "bucket").join(classes.select("class", "signature"), "class")
     near = checkpointed(connected(_forests(_tiled(candidates, F.col("members"), "bucket"), least)))
-    sized = near.join(near.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "root")
+    sized = near.join(small(checkpointed(near.groupBy("root").agg(F.count(F.lit(1)).alias("members")))), "root")
     active = checkpointed(
         sized.join(classes, sized["node"] == classes["class"]).select(
-            F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("key"), F.col("first.th").alias("th"),
+            _id_text("first.doc_id").alias("key"), F.col("first.th").alias("th"),
             "class", F.col("root").alias("group"), "members", "copies", "signature",
         )
     )
-    fetched = _fetched(own, active, words)
+    firsts = rows.select("class", _id_text("doc_id").alias("key"), "th").join(small(active.select("class", "key", "th")), ["class", "key", "th"])
+    again = checkpointed(firsts.groupBy("class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("class"))
+    fetched = _fetched(own, active, again, words)
     found = checkpointed(_verified(_tiled(fetched, F.col("members"), "group"), least, threshold))
     # a component within one tile is found whole by its task; only of larger ones do the tasks' roots have to meet
     wide = active.filter(F.col("members") > TILE).select("class")
@@ -342,8 +358,8 @@ def _linked(docs: DataFrame, doc_id: str, text: str, words: int, threshold: floa
     many = connected(found.join(wide, "class", "left_semi").select(F.col("class").alias("u"), F.col("root").alias("v")))
     roots = one.union(many.select("node", "root")) if wide.limit(1).count() else one
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
-    leading = roots.join(classes.select("class", F.col("first").alias("own")), "class").groupBy("root").agg(F.min("own").alias("lead"))
-    named = roots.join(leading, "root").select("class", "lead")
+    leading = checkpointed(roots.join(classes.select("class", F.col("first").alias("own")), "class").groupBy("root").agg(F.min("own").alias("lead")))
+    named = roots.join(small(leading), "root").select("class", "lead")
     told = checkpointed(
         classes.filter("copies > 1").select("class", "copies", F.col("first").alias("own"))
         .join(named, "class", "full")
@@ -354,6 +370,10 @@ def _linked(docs: DataFrame, doc_id: str, text: str, words: int, threshold: floa
     return rows.select("doc_id", "th", "class", "n").join(small(told), "class", "left")
 
 
+def _id_text(doc_id: str) -> Column:
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+
+
 def _body(text: str) -> Column:
     return F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
 

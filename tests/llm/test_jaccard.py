@@ -106,3 +106,39 @@ def test_nodes_meet_at_the_least(spark):
     df = spark.createDataFrame([(bytearray(a.to_bytes(16, "big")), bytearray(b.to_bytes(16, "big"))) for a, b in edges], "u binary, v binary")
     got = {int.from_bytes(r.node, "big"): int.from_bytes(r.root, "big") for r in jaccard.connected(df).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 110: 100, 120: 100}
+
+
+def test_random_graphs(spark):
+    r = random.Random(5)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(1000, 1001 + i) for i in range(500)] + [(1003, 2000)]
+    df = spark.createDataFrame([(bytearray(a.to_bytes(16, "big")), bytearray(b.to_bytes(16, "big"))) for a, b in edges], "u binary, v binary")
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    rows = [(int.from_bytes(x.node, "big"), int.from_bytes(x.root, "big")) for x in jaccard.connected(df).collect()]
+    moved = {a for a, b in edges if a != b} | {b for a, b in edges if a != b}
+    assert len(rows) == len(moved) and dict(rows) == {x: root[x] for x in moved}
+
+
+def test_copies_without_an_id_send_their_set_once(spark, monkeypatch):
+    a, b = "one two three four five six seven eight nine ten eleven twelve", "one two three four five six seven eight nine ten eleven twelve again"
+    rows, sent, whole = [(None, a, "s")] * 1500 + [(None, b, "s")] * 1500, [], jaccard._fetched
+
+    def counted(*args):
+        out = whole(*args)
+        sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_fetched", counted)
+    got = Counter((g["class_id"], g["n_links"], g["n_shingles"]) for g in collected(jaccard.near_duplicates(docs(spark, rows))))
+    assert got == {(None, 2999, 8): 1500, (None, 2999, 9): 1500} and sent == [2]
+
+
+def test_long_words_differ_where_letters_far_apart_are_swapped():
+    word = bytearray(b"x" * 5000)
+    word[10], word[10 + 1024], word[3000] = ord("a"), ord("b"), ord("c")
+    other = bytearray(word)
+    other[10], other[10 + 1024] = word[10 + 1024], word[10]
+    assert jaccard.shingles(bytes(word)).tolist() != jaccard.shingles(bytes(other)).tolist()
+    assert jaccard.shingles(b"ab " + bytes(word[:900])).tolist() == jaccard.shingles(b"AB  " + bytes(word[:900])).tolist()
