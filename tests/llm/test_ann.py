@@ -38,15 +38,34 @@ def test_exact_where_all_are_candidates(spark):
     assert all(s == pytest.approx(t, rel=1e-12) for q in want for (_, _, s), (_, t) in zip(got[q], want[q], strict=True))
 
 
-@pytest.mark.parametrize("shard", [16_384, 700])
-def test_recall(spark, monkeypatch, shard):
+def spread(r, n):
+    return r.normal(size=(n, 32))
+
+
+def clustered(r, n):
+    centres = r.normal(size=(n // 60, 32))
+    return centres[r.integers(0, len(centres), n)] + 0.15 * r.normal(size=(n, 32))
+
+
+@pytest.mark.parametrize(("make", "shard", "share"), [(spread, 16_384, 0.7), (spread, 900, 1), (clustered, 16_384, 0.1), (clustered, 1500, 0.1)])
+def test_recall_and_rows_scored(spark, monkeypatch, make, shard, share):
     monkeypatch.setattr(ann, "SHARD", shard)
-    monkeypatch.setattr(ann, "BLOCK", 60)
-    r = np.random.default_rng(3)
-    v = r.normal(size=(3000, 32))
-    got, want = found(ann.search(table(spark, range(3000), v))), brute(range(3000), v)
+    n = 6000
+    v = make(np.random.default_rng(3), n)
+    df = ann.searched(table(spark, range(n), v))
+    scored = df.groupBy("query_id").agg({"scored": "max"}).toPandas()["max(scored)"].mean() / (n / -(-n // shard))
+    got, want = found(df), brute(range(n), v)
     recall = np.mean([len({i for _, i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want])
-    assert len(got) == 150 and recall >= 0.9
+    print(f"{make.__name__}, shards of {shard}: recall {recall:.3f}, {scored:.3f} of a shard's rows scored")
+    assert len(got) == n // 20 and recall >= 0.9 and scored <= share
+
+
+def test_rows_of_the_own_id_take_no_places(spark):
+    r = np.random.default_rng(8)
+    ids, v = [20] * 200 + list(range(21, 100)), np.concatenate([np.full((200, 4), 3.0) + r.normal(size=(200, 4)) / 9, r.normal(size=(79, 4))])
+    got = collected(ann.search(table(spark, ids, v)))
+    of = [g for g in got if g["query_id"] == 20]
+    assert len(of) == 200 * 20 and all(g["vec_id"] != 20 for g in of)
 
 
 def test_copies_and_ties(spark):
