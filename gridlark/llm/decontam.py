@@ -3,73 +3,128 @@
 Windows of ten consecutive benchmark words are the test strings. A table gives, for every block of two words, how far
 the search may move on when it stands on that block: the distance to the nearest place where the block ends inside a
 test string, or past all of them if it is in none. Only a block that ends a test string stops the search; its bucket
-holds the test strings that end so, and they are compared word by word.
+holds the test strings that end so, and they are compared with the document's words directly.
+
+The index is flat: the benchmark's words as one text, a byte for each place of the shift table, and sorted arrays for the
+buckets. Overlapping windows share their text, and equal ones are one entry with a list of items.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+from array import array
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.llm.common import words_of
+from gridlark.llm.common import checkpointed, words_of
 
 WINDOW = 10
 
-#: Benchmark text searched for in one pass; a larger benchmark takes several, each with its own broadcast.
-BLOCK_BYTES = 16 << 20
+#: Bytes of benchmark text that one pass searches for; the index of a pass takes up to ten times as many in each worker.
+BLOCK_BYTES = 32 << 20
 
 
 class Searcher:
     """Test strings of one length."""
 
-    def __init__(self, strings: dict[tuple[bytes, ...], set[str]], length: int):
+    def __init__(self, length: int):
         self.length = length
         self.block = min(2, length)
         self.far = length - self.block + 1
-        self.shift: dict = {}
-        self.buckets: dict = defaultdict(list)
-        for words, ids in strings.items():
-            for end in range(self.block, length + 1):
-                key = words[end - 2 : end] if self.block == 2 else words[end - 1]
-                self.shift[key] = min(self.shift.get(key, self.far), length - end)
-            self.buckets[words[-2:] if self.block == 2 else words[-1]].append((words, ids))
-
-    def search(self, words: list[bytes], found: list, ids: set[str]) -> None:
-        """Adds the first words of occurrences to found, as (start, end), and the items' ids to ids."""
-        length, far, n, at = self.length, self.far, len(words), self.length - 1
-        shift, buckets, two = self.shift.get, self.buckets, self.block == 2
+        self.text = bytearray()
+        # of each window: the hash of its last block, its own hash, where it starts in the text, its item
+        self.ends, self.marks, self.places, self.items = array("I"), array("q"), array("I"), array("I")
+        self._blocks, self._steps = array("I"), array("B")
+
+    def add(self, item: int, words: list[bytes]) -> None:
+        blocks = [hash(b) & 0xFFFFFFFF for b in (zip(words, words[1:], strict=False) if self.block == 2 else words)]
+        last = self.length - self.block
+        self._blocks.extend(blocks)
+        self._steps.extend(max(0, last - i) for i in range(len(blocks)))
+        joined = b" ".join(words)
+        starts = [0, *accumulate(len(w) + 1 for w in words)]
+        n, base = len(words) - self.length + 1, len(self.text)
+        self.ends.extend(blocks[last : last + n])
+        self.marks.extend(hash(joined[starts[i] : starts[i + self.length] - 1]) for i in range(n))
+        self.places.extend(base + starts[i] for i in range(n))
+        self.items.extend([item] * n)
+        self.text += joined + b" "
+
+    def finish(self) -> None:
+        blocks, steps = np.frombuffer(self._blocks, np.uint32), np.frombuffer(self._steps, np.uint8)
+        size = 1 << max(8, (4 * len(blocks)).bit_length())
+        shift = np.full(size, self.far, np.uint8)
+        np.minimum.at(shift, blocks & np.uint32(size - 1), steps)
+        self.shift, self.mask = shift.tobytes(), size - 1
+        del blocks, steps, shift, self._blocks, self._steps
+        order = np.lexsort([np.frombuffer(x, k) for x, k in ((self.items, np.uint32), (self.marks, np.int64), (self.ends, np.uint32))]).astype(np.uint32)
+        for name, kind in (("ends", np.uint32), ("marks", np.int64), ("places", np.uint32), ("items", np.uint32)):
+            held = getattr(self, name)
+            setattr(self, name, array(held.typecode, np.frombuffer(held, kind)[order].tobytes()))
+        ends, marks = np.frombuffer(self.ends, np.uint32), np.frombuffer(self.marks, np.int64)
+        fresh = np.ones(len(ends), bool)
+        for i in np.flatnonzero((ends[1:] == ends[:-1]) & (marks[1:] == marks[:-1])) + 1:
+            fresh[i] = self._window(self.places[i]) != self._window(self.places[i - 1])
+        # entries: windows that differ; the items of entry k are those from first[k] to first[k + 1]
+        first = np.flatnonzero(fresh)
+        self.ends, self.marks = array("I", ends[first].tobytes()), array("q", marks[first].tobytes())
+        self.places = array("I", np.frombuffer(self.places, np.uint32)[first].tobytes())
+        self.first = array("I", np.append(first, len(fresh)).astype(np.uint32).tobytes())
+
+    def _window(self, place: int) -> bytes:
+        end = place - 1
+        for _ in range(self.length):
+            end = self.text.index(b" ", end + 1)
+        return bytes(self.text[place:end])
+
+    def search(self, words: list[bytes], found: list, ids: set[int]) -> None:
+        """Adds the first words of occurrences to found, as (start, end), and the items' numbers to ids."""
+        length, n, at = self.length, len(words), self.length - 1
+        shift, mask, two = self.shift, self.mask, self.block == 2
         while at < n:
-            key = (words[at - 1], words[at]) if two else words[at]
-            step = shift(key, far)
-            if step:
+            key = hash((words[at - 1], words[at])) if two else hash(words[at])
+            if step := shift[key & mask]:
                 at += step
                 continue
-            start = at - length + 1
-            here = None
-            for string, own in buckets[key]:
-                if string[0] == words[start]:
-                    here = here or tuple(words[start : at + 1])
-                    if string == here:
-                        found.append((start, at + 1))
-                        ids |= own
+            key &= 0xFFFFFFFF
+            k = bisect_left(self.ends, key)
+            if k < len(self.ends) and self.ends[k] == key:
+                own = b" ".join(words[at - length + 1 : at + 1])
+                mark = hash(own)
+                k = bisect_left(self.marks, mark, k, self._past(key, k))
+                while k < len(self.ends) and self.ends[k] == key and self.marks[k] == mark:
+                    place = self.places[k]
+                    if self.text[place : place + len(own) + 1] == own + b" ":
+                        found.append((at - length + 1, at + 1))
+                        ids.update(self.items[self.first[k] : self.first[k + 1]])
                         break  # equal strings are one entry
+                    k += 1
             at += 1
 
+    def _past(self, key: int, low: int) -> int:
+        return bisect_left(self.ends, key + 1, low)
+
 
-def searchers(items: Iterable[tuple[str, bytes]], window: int = WINDOW) -> list[Searcher]:
-    by_length: dict[int, dict] = defaultdict(lambda: defaultdict(set))
+def searchers(items: Iterable[tuple[str, bytes]], window: int = WINDOW) -> tuple[list[Searcher], list[str]]:
+    """The searchers, and the items' ids by their numbers."""
+    by_length: dict[int, Searcher] = {}
+    numbers: dict[str, int] = defaultdict(lambda: len(numbers))
     for item, text in items:
         words = words_of(text)
-        length = min(window, len(words))
-        for i in range(len(words) - length + 1 if length else 0):
-            by_length[length][tuple(words[i : i + length])].add(item)
-    return [Searcher(strings, length) for length, strings in sorted(by_length.items())]
+        if words:
+            length = min(window, len(words))
+            by_length.setdefault(length, Searcher(length)).add(numbers[item], words)
+    for s in by_length.values():
+        s.finish()
+    return [s for _, s in sorted(by_length.items())], list(numbers)
 
 
 def covered(spans: Iterable[tuple[int, int]]) -> int:
@@ -89,8 +144,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     Null and empty texts have no words and hit nothing, on either side; an item of fewer than `window` words is one
     test string of all of them. A null item id counts as the empty string; rows that repeat an item id are one item.
     An empty benchmark contaminates nothing; an empty table of documents gives no rows. The benchmark goes to the
-    executors in blocks of at most BLOCK_BYTES (or one item, if that is longer), one search after the other within the
-    same pass over the documents.
+    executors in blocks of about BLOCK_BYTES of its text (or one item, if that is longer), one index to a pass; a larger
+    benchmark takes several passes, and what one has found is written out before the next.
     """
     spark = docs.sparkSession
     items = benchmark.select(
@@ -116,14 +171,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
         between = f"{head}, spans array<int>, items array<string>{tail}{', body string' * (body == 'body')}"
         schema = f"{head}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean{tail}" if last else between
         df = df.mapInArrow(_pass(shared, window, last, body, held), schema)
+        if not last:
+            df = checkpointed(df)
+            shared.destroy()
     own = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     return df.select(*[F.col(c).alias(prefix + c) for c in own], *[F.col(h).alias(c) for c, h in zip(carry, held, strict=True)])
 
 
-_built: dict[str, list[Searcher]] = {}
+_built: dict[str, tuple[list[Searcher], list[str]]] = {}
 
 
-def _tests(key: str, shared, window: int) -> list[Searcher]:
+def _tests(key: str, shared, window: int) -> tuple[list[Searcher], list[str]]:
     """Of the block called key; a worker builds them once."""
     if key not in _built:
         _built.clear()
@@ -135,18 +193,18 @@ def _pass(shared, window: int, last: bool, body: str, carried: list[str]):
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tests = _tests(key, shared, window)
+        tests, names = _tests(key, shared, window)
         for batch in batches:
             n_words, spans, items = [], [], []
             for text, had, own in zip(batch.column(body).cast(pa.binary()), batch.column("spans"), batch.column("items"), strict=True):
                 words = words_of(text.as_py() or b"")
                 flat = had.as_py() or []
-                found, ids = list(zip(flat[::2], flat[1::2], strict=True)), set(own.as_py() or [])
+                found, ids = list(zip(flat[::2], flat[1::2], strict=True)), set()
                 for t in tests:
                     t.search(words, found, ids)
                 n_words.append(len(words))
                 spans.append(found)
-                items.append(sorted(ids))
+                items.append(sorted({names[i] for i in ids}.union(own.as_py() or [])))
             if last:
                 hit = [covered(s) for s in spans]
                 made = {

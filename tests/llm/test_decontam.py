@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import pytest
 
@@ -59,3 +60,30 @@ def test_carried_columns(spark):
     out = decontam.contamination(df, bench, carry=df.columns, prefix="z_")
     assert out.columns == ["z_doc_id", "z_n_words", "z_n_hit", "z_n_items", "z_items_sha256", "z_contaminated", *df.columns]
     assert out.filter("z_contaminated").count() == 2
+
+
+def test_the_index_is_small():
+    """At most ten bytes for each byte of the benchmark, also where every word is another."""
+    r = random.Random(4)
+    for words in ([f"w{i}" for i in range(2000)], [f"{i:x}word" for i in range(10**6)]):
+        items = [(str(k), " ".join(r.choice(words) for _ in range(60)).encode()) for k in range(4000)]
+        size = sum(len(t) for _, t in items)
+        tracemalloc.start()
+        found, names = decontam.searchers(items)
+        held = tracemalloc.get_traced_memory()[0]
+        tracemalloc.stop()
+        assert held <= 10 * size and len(names) == 4000
+        hits, ids = [], set()
+        found[0].search(decontam.words_of(items[7][1]), hits, ids)
+        assert len(hits) == 51 and 7 in ids
+
+
+def test_windows_that_many_items_share():
+    """Are one entry, found with all items; texts that share only their last block are others."""
+    items = [(str(k), f"p{k} " + "a b c d e f g h i j".encode().decode() + f" q{k}") for k in range(50)] + [(f"x{k}", f"r{k} b c d e f g h i j") for k in range(50)]
+    found, names = decontam.searchers([(i, t.encode()) for i, t in items])
+    for text, n_hits, n_ids in (("z a b c d e f g h i j z", 1, 50), ("r7 b c d e f g h i j", 1, 1), ("a b c d e f g h i", 0, 0), ("p3 a b c d e f g h i j q3", 3, 50)):
+        hits, ids = [], set()
+        for s in found:
+            s.search(text.encode().split(), hits, ids)
+        assert (len(hits), len(ids)) == (n_hits, n_ids), text
