@@ -79,3 +79,16 @@ def small(df: DataFrame) -> DataFrame:
 
 def crc_remainder(column: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
+
+
+def first_rows(docs: DataFrame, labels: DataFrame, most: int, seed: int) -> DataFrame:
+    """Rows to learn from: doc_id, body, label, turn, at most `most`, the first by turn, a hash of the id.
+
+    docs has doc_id and body, labels a row per doc_id. Of rows that share an id one stands for all, by a hash of its
+    body, so the bound holds for rows however often ids repeat.
+    """
+    turn = F.xxhash64(F.col("doc_id"), F.lit(seed))
+    chosen = checkpointed(labels.withColumn("turn", turn).orderBy("turn", "doc_id").limit(2 * most))
+    found = docs.join(small(chosen), "doc_id").groupBy("doc_id", "label", "turn")
+    one = found.agg(F.min_by(F.col("body"), F.xxhash64("body")).alias("body"))
+    return checkpointed(one.orderBy("turn", "doc_id").limit(most).select("doc_id", "body", "label", "turn"))

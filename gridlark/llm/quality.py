@@ -14,13 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridlark.llm.common import first_rows
+
 #: A passage is so many bytes of the UTF-8 text, the last what remains.
 PASSAGE = 512
 
-#: The network is fitted on at most so many labelled documents, the first by a hash of the id.
-FIT_DOCUMENTS = 12_000
-#: Of a fitted document with more passages, so many at even distances take part in fitting; scoring takes them all.
-FIT_PASSAGES = 48
+#: The network is fitted on the whole texts of at most so many labelled documents that have so many passages at most
+#: between them: by a hash of the id, a document is passed over if its passages don't fit with those before it.
+FIT_DOCUMENTS, FIT_PASSAGES = 12_000, 200_000
 
 #: Texts are encoded together up to so many bytes, longer ones in steps, so memory doesn't grow with a text.
 STEP = PASSAGE * 4096
@@ -126,7 +127,8 @@ class Network:
 def fit_network(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.004, decay: float = 1e-4) -> Network:
     """Adam over shuffled batches with a fixed seed: the same bags in the same order give the same network."""
     every = np.concatenate(bags)
-    net = Network(every.mean(0), every.std(0) + 1e-3)
+    net = Network(every.mean(0, dtype=np.float64), every.std(0, dtype=np.float64) + 1e-3)
+    del every
     r = np.random.default_rng(23)
     m = {k: np.zeros_like(x) for k, x in net.p.items()}
     s = {k: np.zeros_like(x) for k, x in net.p.items()}
@@ -173,7 +175,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id",
     """A row per document: doc_id, score, predicted (1 from `threshold` on).
 
     Labels are looked up by doc_id and learnt from where `learn` holds; null ids and labels other than 0 and 1 are
-    passed over, of several labels of a document the lowest counts. A null text counts as empty: one passage without
+    passed over, of several labels of a document the lowest counts, of several texts the one of least hash is learnt from. A null text counts as empty: one passage without
     content, scored as any other. With labels of one class only, or none, every score is that class's smoothed share.
     Repeated rows get a row each, an empty table none; columns besides those named are not read.
     """
@@ -184,26 +186,26 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id",
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"))
     )
-    n = usable.count()
-    if n > FIT_DOCUMENTS:
-        usable = usable.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int(FIT_DOCUMENTS / n * (1 << 20)))
     body = F.col(f"`{text}`").cast("string").cast("binary").alias("body")
-    few = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), body).join(F.broadcast(usable), "doc_id")
+    few = first_rows(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), body), usable, FIT_DOCUMENTS, 11)
+    sizes = few.select(F.col("doc_id").cast("string"), "turn", F.greatest(F.lit(1), F.ceil(F.octet_length("body") / F.lit(PASSAGE))).alias("passages"))
+    total, names = 0, []
+    for name, _, passages in sorted(sizes.toLocalIterator(), key=lambda r: (r[1], r[0])):
+        if total + passages <= FIT_PASSAGES:
+            total += passages
+            names.append((name,))
+    chosen = F.broadcast(spark.createDataFrame(names, "name string"))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags = []
-            for b in batch.column(1):
-                bag = encode(b.as_py() or b"")
-                bags.append(bag[np.linspace(0, len(bag) - 1, min(len(bag), FIT_PASSAGES)).astype(int)].astype(np.float16).tobytes())
-            yield pa.record_batch([pa.array([str(x) for x in batch.column(0).to_pylist()]), batch.column(2), pa.array(bags, pa.binary())], names=["doc_id", "label", "bag"])
-
-    rows = sorted(
-        (r["doc_id"], r["bag"], r["label"]) for r in few.mapInArrow(passages, "doc_id string, label int, bag binary").toLocalIterator()
-    )
+            bags = [encode(b.as_py() or b"").tobytes() for b in batch.column(1)]
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(bags, pa.binary())], names=["doc_id", "label", "bag"])
+
+    encoded = few.withColumn("name", F.col("doc_id").cast("string")).join(chosen, "name", "left_semi").select("name", "body", "label")
+    rows = sorted((r["doc_id"], r["bag"], r["label"]) for r in encoded.mapInArrow(passages, "doc_id string, label int, bag binary").toLocalIterator())
     y = np.array([label for _, _, label in rows], float)
     if len(set(y.tolist())) == 2:
-        fitted = fit_network([np.frombuffer(b, np.float16).reshape(-1, WIDTH).astype(np.float64) for _, b, _ in rows], y)
+        fitted = fit_network([np.frombuffer(b, np.float32).reshape(-1, WIDTH) for _, b, _ in rows], y)
         model = spark.sparkContext.broadcast(fitted)
     else:
         model = spark.sparkContext.broadcast(float((y.sum() + 0.5) / (len(y) + 1.0)))
