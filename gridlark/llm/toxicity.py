@@ -2,10 +2,13 @@
 
 A disguised stretch (signs or digits among letters, letters spelled with separators, letters repeated) is a lattice:
 each place offers the letter it shows, the letters its sign may stand for, a word break, or nothing. A Viterbi search
-finds the likeliest path under a character trigram model of the whole corpus and the channel's costs. Places that
-offer one reading only, all of an ordinary word, need no search.
+finds the likeliest path under a character model of the whole corpus and the channel's costs. Places that offer one
+reading only, all of an ordinary word, need no search.
 
-The word model is a logistic regression over the words that tell toxic documents from others best.
+The character model counts runs of four characters. The words of all texts are counted first, within tasks and then over
+the corpus, and the runs are taken from the counted words.
+
+The word model is a logistic regression over the words that tell toxic documents from others.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 import math
 import os.path
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,27 +24,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.llm.common import checkpointed, words_of
+from gridlark.llm.common import checkpointed, first_rows, words_of
 
 # Signs and digits, and the letters they are written for.
-LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "*": ""}
+LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "*": "aeiou"}
 
-#: The model is fitted on at most so many labelled documents, the first by a hash of the id.
+#: The word model is fitted on at most so many rows, the first by a hash of the id.
 FIT_DOCUMENTS = 20_000
-#: Words of the model; a word must stand in so many of the fitted documents.
-VOCABULARY, LEAST_DOCUMENTS = 512, 4
-#: Channel costs in nats: a sign for a letter or for a word break, a letter repeated, a separator inside a word, a dropped place.
-SUBSTITUTE, BREAK, REPEAT, SPACED, DROP = 1.0, 3.0, 0.5, 0.5, 9.0
+#: Its words stand in so many of the fitted documents.
+LEAST_DOCUMENTS = 4
+#: Channel costs in nats: a sign for a letter; a digit amid letters, a digit elsewhere, or another sign, for a word break; a
+#: sign at the edge of a stretch for none; an asterisk for a vowel; a letter or sign that repeats the one before, where three or more stand together,
+#: and a letter where two do; a separator inside a word between single characters, and elsewhere; a dropped place.
+SUBSTITUTE, AMID, DIGIT_BREAK, SIGN_BREAK, EDGE, VOWEL, REPEAT, DOUBLE, SPACED, JOINED, DROP = 1.0, 16.0, 8.0, 4.0, 1.0, 3.0, 0.5, 8.0, 0.5, 4.0, 16.0
 #: After so many places what all paths share is put out, so that memory and time don't grow with a stretch's square.
 STRETCH = 64
 
-#: Classes of the character model: 0 for a word break, 1 to 26 for letters, 27 for any byte of another letter.
-CLASSES = 28
-_CLASS = np.zeros(256, np.int32)
-_CLASS[ord("a") : ord("z") + 1] = _CLASS[ord("A") : ord("Z") + 1] = np.arange(1, 27)
-_CLASS[128:] = 27
+#: Characters in a run; runs and words of less than these shares of all are left out of the models, so that there are at
+#: most 500,000 runs and 100,000 words.
+ORDER, LEAST_RUN, LEAST_WORD = 4, 2e-6, 1e-5
+#: So many occurrences of a run count as much as what its shorter end tells.
+SMOOTH = 30
+#: Distinct words that a task holds before it passes them on.
+HELD_WORDS = 200_000
 
-_SIGN = re.compile("[0-9" + re.escape("".join(k for k in LEET if not k.isdigit())) + "]")
+_SIGNS = "".join(k for k in LEET if not k.isdigit())
+_SIGN = re.compile("[0-9" + re.escape(_SIGNS) + "]")
 # single letters, digits or signs, parted alike; a quote, bracket or the like may stand before the first
 _UNIT = r"(?:[^\W_]|[" + re.escape("".join(k for k in LEET if not k.isdigit() and LEET[k])) + r"])(?![^\W_])"
 _PART = r"(?:[ \t]++[._*~/,-]?[ \t]*+|[._*~/,-]{1,2}+[ \t]*+)"
@@ -48,104 +57,199 @@ _SPACED = re.compile(rf"(?<![^\W_])(?<![^\W_]['’]){_UNIT}(?:{_PART}{_UNIT}){{2
 _MAYBE_SPACED = re.compile(rf"[ \t._*~/,-]{_UNIT}[ \t._*~/,-]++{_UNIT}")
 _PARTS = re.compile(r"[ \t._*~/,-]+")
 _REPEATED = re.compile(r"([^\W\d_])\1\1")
-_EDGES = ".,;:?!\"'()[]{}<>|*+-_#&%=/\\"
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: What may stand around a stretch; signs that letters are written with stay.
+_AROUND = ".,;:?\"')[]{}<>-_#&%=/\\~`^’‘“”«»"
 
 
-def character_counts(docs: DataFrame, text: str) -> np.ndarray:
-    """Trigram counts over all texts, by class. Each task sums its own before the shuffle; the table's size is fixed."""
+def word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """(word, n) of all texts in lower case."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CLASSES**3, np.int64)
+        held: Counter[bytes] = Counter()
         for batch in batches:
             for body in batch.column(0):
-                data = body.as_py()
-                for at in range(0, len(data or b""), 1 << 20):
-                    c = _CLASS[np.frombuffer(data[at : at + (1 << 20)], np.uint8)]
-                    if len(c):
-                        c = np.concatenate(([0, 0], c, [0]))
-                        total += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=CLASSES**3)
-        seen = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["gram", "n"])
+                held.update(words_of((body.as_py() or "").lower().encode()))
+                if len(held) > HELD_WORDS:
+                    yield _counted(held)
+                    held.clear()
+        yield _counted(held)
 
-    body = docs.select(F.col(f"`{text}`").cast("string").cast("binary").alias("body")).filter("body IS NOT NULL")
-    counts = np.zeros(CLASSES**3)
-    for gram, n in body.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n")).toLocalIterator():
-        counts[gram] = n
-    return counts
+    body = docs.select(F.col(f"`{text}`").cast("string").alias("body")).filter("body IS NOT NULL")
+    return body.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def character_costs(counts: np.ndarray) -> list[float]:
-    """Negative log probabilities of a class after two others, smoothed by the shorter contexts."""
-    c3 = counts.reshape(CLASSES, CLASSES, CLASSES)
-    c2, c1 = c3.sum(0), c3.sum((0, 1))
-    p1 = (c1 + 1) / (c1.sum() + CLASSES)
-    p2 = (c2 + 8 * p1) / (c2.sum(1, keepdims=True) + 8)
-    p3 = (c3 + 8 * p2) / (c3.sum(2, keepdims=True) + 8)
-    return (-np.log(p3)).ravel().tolist()
+def _counted(held: Counter) -> pa.RecordBatch:
+    words = [w if isinstance(w, str) else w.decode() for w in held]
+    return pa.record_batch([pa.array(words, pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"])
 
 
-def _class_of(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else 27
+def runs_of(word: str) -> Iterator[str]:
+    """The runs of characters that end in each letter of a word, and in the break after it."""
+    for m in _LETTERS.finditer(word):
+        padded = f"{' ' * (ORDER - 1)}{m[0]} "
+        for i in range(len(m[0]) + 1):
+            yield padded[i : i + ORDER]
 
 
-def decode(stretch: str, costs: list[float]) -> str:
-    """The likeliest reading of a lower-case stretch: words of letters, parted by spaces."""
-    # state: classes of the last two characters put out; value: cost, reading
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    before = ""
-    done = ""
+def run_counts(words: DataFrame) -> DataFrame:
+    """(word, n) of the runs of characters in (word, n). A word counts by its length in bits of n, not by n: a model of
+    words that may be meant is not to be ruled by the few that are everywhere."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[str] = Counter()
+        for batch in batches:
+            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for r in runs_of(word):
+                    held[r] += n.bit_length()
+            if len(held) > HELD_WORDS:
+                yield _counted(held)
+                held.clear()
+        yield _counted(held)
+
+    return words.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _frequent(counts: DataFrame, share: float) -> dict[str, int]:
+    """The rows of at least this share of all, which are 1 / share at most."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return {r["word"]: r["n"] for r in counts.filter(F.col("n") >= share * total).toLocalIterator()}
+
+
+def read_corpus(docs: DataFrame, text: str) -> tuple[dict[str, int], frozenset[str]]:
+    """Counts of runs of characters, and the words that are no disguise, for they are common."""
+    words = checkpointed(word_counts(docs, text))
+    return _frequent(checkpointed(run_counts(words)), LEAST_RUN), frozenset(_frequent(words, LEAST_WORD))
+
+
+class Language:
+    """Costs, negative log probabilities, of a character after others, smoothed by what follows fewer of them."""
+
+    def __init__(self, runs: dict[str, int]):
+        self.counts: dict[str, int] = defaultdict(int)
+        self.sums: dict[str, int] = defaultdict(int)
+        for run, n in runs.items():
+            for k in range(ORDER):
+                self.counts[run[k:]] += n
+                self.sums[run[k:-1]] += n
+        self.letters = sum(len(r) == 1 for r in self.counts) + 1
+        self.known: dict[str, float] = {}
+
+    def cost(self, run: str) -> float:
+        """Of the last character after those before it."""
+        found = self.known.get(run)
+        if found is None:
+            if len(self.known) > 1_000_000:
+                self.known.clear()
+            found = self.known[run] = -math.log(self._probability(run))
+        return found
+
+    def _probability(self, run: str) -> float:
+        p = (self.counts.get(run[-1], 0) + 1) / (self.sums.get("", 0) + self.letters)
+        for k in range(2, len(run) + 1):
+            p = (self.counts.get(run[-k:], 0) + SMOOTH * p) / (self.sums.get(run[-k:-1], 0) + SMOOTH)
+        return p
+
+
+def lattice(stretch: str) -> Iterator[list[tuple[str, float]]]:
+    """For each place of a lower-case stretch what it may be read as, and at what cost."""
+    first, last = len(stretch) - len(stretch.lstrip(_SIGNS)), len(stretch.rstrip(_SIGNS))
+    parts = [not (c.isalnum() or c in LEET) for c in stretch]
+
+    def spelled(at: int) -> bool:
+        """Whether a separator stands between single characters."""
+        a, b = at, at + 1
+        while a and parts[a - 1]:
+            a -= 1
+        while b < len(parts) and parts[b]:
+            b += 1
+        return (a < 2 or parts[a - 2]) and (b + 1 >= len(parts) or parts[b + 1])
+
     for at, c in enumerate(stretch):
-        if at and at % STRETCH == 0:
-            same = os.path.commonprefix([reading for _, reading in states.values()])
-            done += same
-            states = {k: (cost, reading[len(same) :]) for k, (cost, reading) in states.items()}
         if c.isalpha():
-            offers = [(c, 0.0)] + ([("", REPEAT)] if c == before else [])
+            offers = [(c, 0.0)]
         elif c in LEET:
-            offers = [(x, SUBSTITUTE) for x in LEET[c]] + [(" ", BREAK), ("", DROP if LEET[c] else SPACED)]
-            if c == before:
-                offers.append(("", REPEAT))
+            price = VOWEL if c == "*" else SUBSTITUTE
+            amid = any(x.isalpha() for x in stretch[max(0, at - 1) : at]) and any(x.isalpha() for x in stretch[at + 1 : at + 2])
+            rest = (AMID if amid else DIGIT_BREAK) if c.isdigit() else SIGN_BREAK if first <= at < last else EDGE
+            offers = [*[(x, price) for x in LEET[c]], (" ", rest), ("", SPACED if c == "*" else DROP)]
         elif c.isdigit():
-            offers = [(" ", BREAK), ("", DROP)]
+            offers = [(" ", DIGIT_BREAK), ("", DROP)]
         else:
-            offers = [(" ", 0.0), ("", SPACED)]
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, reading) in states.items():
+            offers = [(" ", 0.0), ("", SPACED if spelled(at) else JOINED)]
+        if at and c == stretch[at - 1]:
+            if c * 3 in stretch[max(0, at - 2) : at + 3]:
+                offers += [("", REPEAT)] if c.isalpha() or c in LEET else []
+            elif c.isalpha():
+                offers.append(("", DOUBLE))
+        yield offers
+
+
+def decode(stretch: str, language: Language) -> str:
+    """The likeliest reading of a lower-case stretch: words of letters, parted by spaces."""
+    start, cost = " " * (ORDER - 1), language.cost
+    # state: the last characters put out; value: cost, reading
+    states: dict[str, tuple[float, str]] = {start: (0.0, "")}
+    done = ""
+    for at, offers in enumerate(lattice(stretch)):
+        if at and at % STRETCH == 0:
+            same = os.path.commonprefix([reading for _, reading in states.values()])
+            done += same
+            states = {k: (total, reading[len(same) :]) for k, (total, reading) in states.items()}
+        new: dict[str, tuple[float, str]] = {}
+        for state, (so_far, reading) in states.items():
             for x, price in offers:
-                if x == "" or (x == " " and b == 0):
-                    state, total, put = (a, b), cost + price, reading
-                else:
-                    k = 0 if x == " " else _class_of(x)
-                    state, total, put = (b, k), cost + price + costs[(a * CLASSES + b) * CLASSES + k], reading + x
-                if state not in new or total < new[state][0]:
-                    new[state] = (total, put)
-        states, before = new, c
-    return done + min((cost + costs[(a * CLASSES + b) * CLASSES], reading) for (a, b), (cost, reading) in states.items())[1]
-
-
-def restorer(costs: list[float]):
-    """A function from a lower-case text to the words that its disguised stretches are read as."""
-    known: dict[str, list[str]] = {}
-
-    def read(stretch: str) -> list[str]:
+                total, put, after = so_far + price, reading, state
+                if x and (x != " " or state != start):  # a break after a break is none
+                    total, put, after = total + cost(state + x), reading + x, start if x == " " else state[1:] + x
+                if after not in new or total < new[after][0]:
+                    new[after] = (total, put)
+        states = new
+    return done + min((total + (cost(state + " ") if state != start else 0.0), reading) for state, (total, reading) in states.items())[1]
+
+
+class Restorer:
+    """Reads the disguised stretches of texts."""
+
+    def __init__(self, runs: dict[str, int], common: frozenset[str]):
+        self.language, self.common = Language(runs), common
+        self.known: dict[str, list[str]] = {}
+
+    def read(self, stretch: str) -> list[str]:
         if len(stretch) > STRETCH:
-            return decode(stretch, costs).split()
-        if stretch not in known:
-            if len(known) > 50_000:
-                known.clear()
-            known[stretch] = decode(stretch, costs).split()
-        return known[stretch]
-
-    def restored(low: str, plain: set[bytes]) -> list[str]:
-        stretches = [t for t in _signed(low)]
+            return decode(stretch, self.language).split()
+        if stretch not in self.known:
+            if len(self.known) > 50_000:
+                self.known.clear()
+            self.known[stretch] = decode(stretch, self.language).split()
+        return self.known[stretch]
+
+    def restored(self, low: str, plain: set[bytes]) -> list[str]:
+        """The words that the disguised stretches of a lower-case text are read as; plain: its words as they are."""
+        stretches = [*self._signed(low)]
         if _MAYBE_SPACED.search(low):
             stretches += [_narrowed(m[0]) for m in _SPACED.finditer(low) if any(c.isalpha() for c in m[0])]
         own = b" ".join(plain).decode()
         if _REPEATED.search(own):
             stretches += [w for w in sorted(own.split()) if _REPEATED.search(w) and w.isalpha()]
-        return [w for s in stretches for w in read(s)]
-
-    return restored
+        return [w for s in stretches for w in self.read(s)]
+
+    def _signed(self, low: str) -> Iterator[str]:
+        """The pieces between white space that have letters and signs or digits, unless one sign stands around a common
+        word. A piece without letters is a number or a sign."""
+        end = 0
+        for m in _SIGN.finditer(low):
+            if (at := m.start()) < end:
+                continue
+            start = max(low.rfind(" ", 0, at), low.rfind("\n", 0, at), low.rfind("\t", 0, at)) + 1
+            end = min(e if (e := low.find(c, at)) >= 0 else len(low) for c in " \n\t")
+            piece = low[start:end].strip(_AROUND)
+            core = piece.strip(_AROUND + _SIGNS)
+            if len(core) < 2 and len(piece) < 3 or not _LETTERS.search(piece):
+                continue
+            around = {c for c in piece if c in _SIGNS}
+            if _SIGN.search(core) or len(around) > 1 or around and core not in self.common:
+                yield piece
 
 
 def _narrowed(spaced: str) -> str:
@@ -154,45 +258,36 @@ def _narrowed(spaced: str) -> str:
     return _PARTS.sub(lambda m: m[0][0] if len(m[0]) == least else m[0], spaced)
 
 
-def _signed(low: str) -> Iterator[str]:
-    """The pieces between white space that have letters and, between or before them, signs or digits."""
-    end = 0
-    for m in _SIGN.finditer(low):
-        if (at := m.start()) < end:
-            continue
-        start = max(low.rfind(" ", 0, at), low.rfind("\n", 0, at), low.rfind("\t", 0, at)) + 1
-        end = min(e if (e := low.find(c, at)) >= 0 else len(low) for c in " \n\t")
-        piece = low[start:end].rstrip(_EDGES).lstrip(_EDGES.replace("!", "").replace("|", ""))
-        if _SIGN.search(piece) and any(c.isalpha() for c in piece):
-            yield piece
-
-
 #: Words that share their first bytes share a feature for each of these lengths.
 STEMS = (4, 5)
 
 
-def features(text: str, restored) -> set[bytes]:
-    """The words of a text as it is and as restored, and their stems."""
+def words_in(text: str, restorer: Restorer) -> set[bytes]:
+    """The words of a text as it is and as restored."""
     low = text.lower()
     plain = set(words_of(low.encode()))
-    plain.update(w.encode() for w in restored(low, plain))
-    stems = [{w[:n] + b"*" for w in plain if len(w) > n} for n in STEMS]
-    return plain.union(*stems)
+    plain.update(w.encode() for w in restorer.restored(low, plain))
+    return plain
+
 
+def features_of(word: bytes) -> list[bytes]:
+    """A word and its stems."""
+    return [word, *[word[:n] + b"*" for n in STEMS if len(word) > n]]
 
-def _words_of_rows(df: DataFrame, costs_of) -> DataFrame:
-    """(label, words) of (label, text)."""
+
+def _words_of_rows(df: DataFrame, corpus) -> DataFrame:
+    """(label, words) of (label, body)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restored = restorer(costs_of.value)
+        restorer = Restorer(*corpus.value)
         for batch in batches:
-            found = [sorted(w.decode("latin-1") for w in features(t.as_py() or "", restored)) for t in batch.column(1)]
+            found = [sorted({f.decode("latin-1") for w in words_in(t.as_py() or "", restorer) for f in features_of(w)}) for t in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.string()))], names=["label", "words"])
 
-    return df.select("label", "text").mapInArrow(run, "label int, words array<string>")
+    return df.select("label", "body").mapInArrow(run, "label int, words array<string>")
 
 
-def fit_logistic(rows: list[tuple[int, list[int]]], n_words: int, penalty: float = 0.02, rounds: int = 600) -> np.ndarray:
+def fit_logistic(rows: list[tuple[int, list[int]]], n_words: int, penalty: float = 0.1, rounds: int = 600) -> np.ndarray:
     """Weights of the words, the intercept last; ridge penalty, accelerated gradient steps, so the same every time.
 
     The curvature along a word is at most a quarter of its documents times the most words of any, so each has its step.
@@ -216,7 +311,7 @@ def fit_logistic(rows: list[tuple[int, list[int]]], n_words: int, penalty: float
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: str, costs_of, learn) -> tuple[dict[str, float], float]:
+def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: str, corpus, learn) -> tuple[dict[str, float], float]:
     """Weights of words and the intercept. learn: a condition on doc_id that tells which labels may be learnt from."""
     usable = (
         labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
@@ -224,21 +319,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: st
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
-    n = usable.count()
-    if n > FIT_DOCUMENTS:  # a third more than fits by hash; the limit is below it except by odd chance
-        usable = usable.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < int(FIT_DOCUMENTS / n * (1 << 20)))
-    few = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).join(F.broadcast(usable), "doc_id")
-    fitted = checkpointed(_words_of_rows(few, costs_of))
+    few = first_rows(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("body")), usable, FIT_DOCUMENTS, 7)
+    fitted = checkpointed(_words_of_rows(few, corpus))
     totals = {r["label"]: r["count"] for r in fitted.groupBy("label").count().toLocalIterator()}
     positive, negative = totals.get(1, 0), totals.get(0, 0)
     if not positive or not negative:
         rate = (positive + 0.5) / (positive + negative + 1.0)
         return {}, math.log(rate / (1 - rate))
-    by_word = fitted.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.sum("label").alias("p"), F.count(F.lit(1)).alias("n"))
-    ratio = F.log((F.col("p") + 0.5) / (positive + 1.0)) - F.log((F.col("n") - F.col("p") + 0.5) / (negative + 1.0))
-    gain = F.abs(F.col("p") / positive - (F.col("n") - F.col("p")) / negative) * F.abs(ratio)
-    chosen = by_word.filter(F.col("n") >= LEAST_DOCUMENTS).orderBy(gain.desc(), "word").limit(VOCABULARY)
-    vocabulary = sorted(r["word"] for r in chosen.select("word").toLocalIterator())
+    by_word = fitted.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.sum("label").cast("double").alias("p"), F.count(F.lit(1)).cast("double").alias("n"))
+    # the odds of such counts by chance are at most exp(-gain): fewer than one word of all may pass
+    by_word = checkpointed(by_word.filter(F.col("n") >= LEAST_DOCUMENTS))
+    share = positive / (positive + negative)
+    part = lambda x, of: F.when(x > 0, x * F.log(x / (F.col("n") * F.lit(of)))).otherwise(0.0)
+    gain = part(F.col("p"), share) + part(F.col("n") - F.col("p"), 1 - share)
+    chosen = by_word.filter(gain >= math.log(max(2, by_word.count()))).select("word")
+    vocabulary = sorted(r["word"] for r in chosen.toLocalIterator())
     place = {w: i for i, w in enumerate(vocabulary)}
     held = fitted.select("label", F.array_intersect("words", F.array(*map(F.lit, vocabulary)).cast("array<string>")).alias("words"))
     # in an order of their own, so that reruns add up the same
@@ -246,21 +341,41 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: st
     return dict(zip(vocabulary, weights.tolist(), strict=False)), float(weights[-1])
 
 
+class Scorer:
+    """Scores of texts under the word model."""
+
+    def __init__(self, weights: dict[str, float], intercept: float, restorer: Restorer):
+        self.weights = {w.encode("latin-1"): x for w, x in weights.items()}
+        self.intercept, self.restorer = intercept, restorer
+        self.known: dict[bytes, tuple[bytes, ...]] = {}
+
+    def score(self, text: str) -> float:
+        found: set[bytes] = set()
+        for w in words_in(text, self.restorer):
+            own = self.known.get(w)
+            if own is None:
+                if len(self.known) > 200_000:
+                    self.known.clear()
+                own = self.known[w] = tuple(f for f in features_of(w) if f in self.weights)
+            if own:
+                found.update(own)
+        z = self.intercept + sum(self.weights[f] for f in sorted(found))
+        return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", learn=None,
                    carry: list[str] | None = None, prefix: str = "") -> DataFrame:
     """A row per document: doc_id, score, predicted, with prefix before these names; columns in carry come along.
 
     The character model counts all texts. Labels are looked up by doc_id and learnt from where `learn` holds; null ids
-    and labels other than 0 and 1 are passed over, of several labels of a document the highest counts. A null text
-    counts as empty, and an empty one gets the score of a document without any of the model's words. With labels of
-    one class only, or none, every score is that class's smoothed share. Repeated rows get a row each; an empty table
-    gives none.
+    and labels other than 0 and 1 are passed over, of several labels of a document the highest counts, of several texts
+    the one of least hash is learnt from. A null text counts as empty, and an empty one gets the score of a document
+    without any of the model's words. With labels of one class only, or none, every score is that class's smoothed share.
+    Repeated rows get a row each; an empty table gives none.
     """
     spark = docs.sparkSession
-    costs = character_costs(character_counts(docs, text))
-    costs_of = spark.sparkContext.broadcast(costs)
-    weights, intercept = fit(docs, labels, doc_id=doc_id, text=text, label=label, costs_of=costs_of, learn=F.lit(True) if learn is None else learn)
-    model = spark.sparkContext.broadcast((weights, intercept))
+    corpus = spark.sparkContext.broadcast(read_corpus(docs, text))
+    model = spark.sparkContext.broadcast(fit(docs, labels, doc_id=doc_id, text=text, label=label, corpus=corpus, learn=F.lit(True) if learn is None else learn))
     carry = carry or []
     held = [f"carried_{i}" for i in range(len(carry))]
     kinds = dict(docs.dtypes)
@@ -268,14 +383,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id"
     at = 1 + carry.index(text) if text in carry and kinds[text] == "string" else len(carry) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restored = restorer(costs_of.value)
-        weight, base = {w.encode("latin-1"): x for w, x in model.value[0].items()}, model.value[1]
-        known = weight.keys()
+        scorer = Scorer(*model.value, Restorer(*corpus.value))
         for batch in batches:
-            scores = []
-            for body in batch.column(at):
-                z = base + sum(weight[w] for w in sorted(known & features(body.as_py() or "", restored)))
-                scores.append(1 / (1 + math.exp(-max(-40.0, min(40.0, z)))))
+            scores = [scorer.score(body.as_py() or "") for body in batch.column(at)]
             yield pa.record_batch(
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), *[batch.column(1 + i) for i in range(len(held))]],
                 names=["doc_id", "score", "predicted", *held],
