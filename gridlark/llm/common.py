@@ -87,8 +87,10 @@ def first_rows(docs: DataFrame, labels: DataFrame, most: int, seed: int) -> Data
     docs has doc_id and body, labels a row per doc_id. Of rows that share an id one stands for all, by a hash of its
     body, so the bound holds for rows however often ids repeat.
     """
-    turn = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    chosen = checkpointed(labels.withColumn("turn", turn).orderBy("turn", "doc_id").limit(2 * most))
+    turned = labels.withColumn("turn", F.xxhash64(F.col("doc_id"), F.lit(seed)))
+    # of ids that have a row, without their bodies; so many more are tried as labels may lack documents
+    first = lambda df, n: checkpointed(df.orderBy("turn", "doc_id").limit(n))
+    tried = first(turned, 4 * most)
+    chosen = first(docs.select("doc_id").join(small(tried), "doc_id").distinct(), most)
     found = docs.join(small(chosen), "doc_id").groupBy("doc_id", "label", "turn")
-    one = found.agg(F.min_by(F.col("body"), F.xxhash64("body")).alias("body"))
-    return checkpointed(one.orderBy("turn", "doc_id").limit(most).select("doc_id", "body", "label", "turn"))
+    return checkpointed(found.agg(F.min_by(F.col("body"), F.xxhash64("body")).alias("body")).select("doc_id", "body", "label", "turn"))
