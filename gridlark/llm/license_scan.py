@@ -70,6 +70,7 @@ def all_templates() -> dict[str, str]:
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_PARTED = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BETWEEN = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -92,7 +93,7 @@ def cover(templates: Iterable[list[str]], threshold: float) -> list[str]:
     """Some words of which every text that reaches the threshold with one of the templates has one at least.
 
     The bigrams of a template that have none of the words are fewer than a match shares. Each word is the one that brings
-    the templates nearest to that, and a short word, which is common elsewhere, only where no longer one does.
+    the templates nearest to that; a long word counts for more, since it is rarer elsewhere.
     """
     left = [({(*p.split(" "),) for p in pairs}, fewest_shared(len(pairs), threshold)) for pairs in templates]
     out: list[str] = []
@@ -101,7 +102,7 @@ def cover(templates: Iterable[list[str]], threshold: float) -> list[str]:
         for pairs, shared in left:
             over = len(pairs) - shared + 1
             for w, n in Counter(w for p in pairs for w in set(p)).items():
-                gain[w] += min(1.0, n / over) * (1.01 if len(w) >= 5 else 0.01)
+                gain[w] += min(1.0, n / over) * max(0.1, len(w) - 4) ** 2
         best = max(gain, key=lambda w: (gain[w], w))
         out.append(best)
         left = [({p for p in pairs if best not in p}, shared) for pairs, shared in left]
@@ -135,16 +136,15 @@ class Templates:
     def dice(self, shared: Column, n: Column, place: str) -> Column:
         return F.lit(2.0) * shared / (n + self.of(self.sizes, place))
 
-    def maybe(self, low: Column) -> Column:
-        """Whether a text in lower case may match: it has a word of the cover, and is long enough for the templates that
-        it covers."""
+    def maybe(self, words: Column, size: Column) -> Column:
+        """Whether a text of these words and of so many bytes may match: it has a word of the cover, and is long enough for
+        the templates that it covers."""
         short = [p for p, least in zip(self.pairs, self.least, strict=True) if least <= LONG]
         long = [p for p, least in zip(self.pairs, self.least, strict=True) if least > LONG]
         least = min((n for n in self.least if n > LONG), default=0)
-        one = lambda w: F.contains(low, F.lit(w)) if len(w) >= 5 else low.rlike(rf"(?<![0-9a-z]){w}(?![0-9a-z])")
-        has = lambda some: reduce(Column.__or__, map(one, sorted(cover(some, self.threshold), key=lambda w: (len(w) < 5, w))), F.lit(False))
+        has = lambda some: F.arrays_overlap(words, F.array(*map(F.lit, sorted(cover(some, self.threshold)))).cast("array<string>"))
         # a bigram more is a word more, of two bytes with what parts it from the next
-        return has(short) | ((F.octet_length(low) >= 2 * least) & has(long))
+        return has(short) | ((size >= 2 * least) & has(long))
 
 
 def _ordered(passage: Column) -> Column:
@@ -213,10 +213,10 @@ def scan_licenses(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     """
     known = Templates(all_templates() if templates is None else templates, threshold)
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    # a column of its own, so that it is made once and not for each word
-    lowered = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), body.alias("body")).withColumn("low", F.lower("body"))
-    clean = F.when(known.maybe(F.col("low")), F.regexp_replace(F.translate("body", _UPPER, _LOWER), _BETWEEN, " "))
-    scanned = checkpointed(lowered.select("doc_id", F.monotonically_increasing_id().alias("row"), clean.alias("clean")))
+    # a column of its own, so that it is made once
+    split = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), body.alias("body")).withColumn("words", F.split(F.lower("body"), _PARTED))
+    clean = F.when(known.maybe(F.col("words"), F.octet_length("body")), F.regexp_replace(F.translate("body", _UPPER, _LOWER), _BETWEEN, " "))
+    scanned = checkpointed(split.select("doc_id", F.monotonically_increasing_id().alias("row"), clean.alias("clean")))
     near = scanned.filter("clean IS NOT NULL").select("row", "clean")
     passages = checkpointed(_passages(near, known))
     runs = _runs(near, known)
