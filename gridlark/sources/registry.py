@@ -12,6 +12,7 @@ from typing import Any, Protocol
 from pyspark.sql import SparkSession
 
 from gridlark.errors import InterfaceError, NotSupportedError, OperationalError
+from gridlark.sources import patch
 from gridlark.sources.catalog import METADATA, Catalog, parquet_relation, relation_of
 from gridlark.sources.xlsx import read_workbook, write_workbook
 
@@ -44,6 +45,7 @@ class WorkbookStore:
         self.max_rows = _positive("max_rows", max_rows)
         self.max_memory_mb = _positive("max_memory_mb", max_memory_mb)
         self.locked = False
+        self.saved: dict[str, Any] = {}
         if create and not os.path.exists(path):
             write_workbook(path, [("Sheet", [], iter(()))])
         if not os.path.exists(path):
@@ -53,6 +55,7 @@ class WorkbookStore:
         for sheet in read_workbook(self.path, cached_values=self.data_only):
             self._guard(sheet.name, sheet.rows)
             catalog.tables[sheet.name] = relation_of(catalog.spark, sheet.headers, sheet.rows)
+        self.saved = catalog.snapshot()
 
     def _guard(self, name: str, rows: list) -> None:
         n = len(rows)
@@ -96,8 +99,11 @@ class WorkbookStore:
             self.backed_up = True
 
     def save(self, catalog: Catalog) -> None:
-        sheets = sorted(catalog.tables, key=lambda t: t == METADATA)
-        write_workbook(self.path, [(t, list(catalog.tables[t].columns), iter(catalog.rows(t))) for t in sheets])
+        """Sheets that are as they were read or last saved are left alone."""
+        names = sorted(catalog.tables, key=lambda t: t == METADATA)
+        changed = [t for t in names if catalog.tables[t] is not self.saved.get(t)]
+        patch.save(self.path, {t: (list(catalog.tables[t].columns), catalog.rows(t)) for t in changed}, set(names) - set(changed), cached=self.data_only)
+        self.saved = catalog.snapshot()
 
     def close(self) -> None:
         if self.locked:

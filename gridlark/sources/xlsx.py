@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import math
 import os
 import re
 import tempfile
@@ -50,10 +51,7 @@ def _read(z: zipfile.ZipFile, cached: bool) -> list[Sheet]:
     targets = {r.get("Id"): r.get("Target") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")).iter(f"{_PACKAGE}Relationship")}
     properties = book.find(f"{_MAIN}workbookPr")
     late = properties is not None and properties.get("date1904") in ("1", "true")
-    strings = []
-    if "xl/sharedStrings.xml" in z.namelist():
-        strings = [_plain(si) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall(f"{_MAIN}si")]
-    dates = _date_styles(z)
+    strings, dates = _strings(z), _date_styles(z)
     out = []
     for sheet in book.iter(f"{_MAIN}sheet"):
         target = targets[sheet.get(f"{_REL}id")]
@@ -64,6 +62,12 @@ def _read(z: zipfile.ZipFile, cached: bool) -> list[Sheet]:
     return out
 
 
+def _strings(z: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in z.namelist():
+        return []
+    return [_plain(si) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall(f"{_MAIN}si")]
+
+
 def _plain(si: ET.Element) -> str:
     """The text of a string item without its phonetic guides."""
     return "".join(t.text or "" for run in [si, *si.findall(f"{_MAIN}r")] for t in run.findall(f"{_MAIN}t"))
@@ -84,6 +88,7 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
 def _rows(f, strings: list[str], dates: set[int], late: bool, cached: bool) -> Iterator[tuple[int, dict[int, Any]]]:
     """(row number from 1, values by column from 0)."""
     number = 0
+    shared: Shared = {}
     for _, row in ET.iterparse(f):
         if row.tag != f"{_MAIN}row":
             continue
@@ -92,7 +97,9 @@ def _rows(f, strings: list[str], dates: set[int], late: bool, cached: bool) -> I
         for c in row.findall(f"{_MAIN}c"):
             ref = c.get("r")
             column = _column(ref) if ref else column + 1
-            value = _value(c, strings, dates, late, cached)
+            if not cached:
+                _hold(c, shared)
+            value = _value(c, strings, dates, late, cached, shared)
             if value is not None:
                 cells[column] = value
         yield number, cells
@@ -108,11 +115,56 @@ def _column(ref: str) -> int:
     return n - 1
 
 
-def _value(c: ET.Element, strings: list[str], dates: set[int], late: bool, cached: bool) -> Any:
+#: A formula that one cell holds for several: by its number, that cell and the formula.
+Shared = dict[str, tuple[str, str]]
+
+
+def _hold(c: ET.Element, shared: Shared) -> None:
+    formula = c.find(f"{_MAIN}f")
+    if formula is not None and formula.get("t") == "shared" and formula.text:
+        shared[formula.get("si")] = c.get("r"), formula.text
+
+
+def _shared_formulas(data: ET.Element) -> Shared:
+    out: Shared = {}
+    for c in data.iter(f"{_MAIN}c"):
+        _hold(c, out)
+    return out
+
+
+def _group(c: ET.Element) -> str | None:
+    """What the cells of a shared or an array formula have in common."""
+    formula = c.find(f"{_MAIN}f")
+    if formula is None or formula.get("t") not in ("shared", "array"):
+        return None
+    return f"{formula.get('t')}:{formula.get('si') or formula.get('ref')}"
+
+
+_REFERENCE = re.compile(r"""("[^"]*"|'[^']*')|(?<![A-Za-z0-9_.])(\$?)([A-Za-z]{1,3})(\$?)([0-9]{1,7})(?![A-Za-z0-9_.(])""")
+
+
+def moved(formula: str, rows: int, columns: int) -> str:
+    """A formula as it reads so many rows and columns on: references without $ move along."""
+
+    def step(m: re.Match) -> str:
+        if m[1]:
+            return m[0]
+        column = m[3] if m[2] else _letters(_column(m[3]) + columns)
+        return f"{m[2]}{column}{m[4]}{m[5] if m[4] else int(m[5]) + rows}"
+
+    return _REFERENCE.sub(step, formula)
+
+
+def _value(c: ET.Element, strings: list[str], dates: set[int], late: bool, cached: bool, shared: Shared) -> Any:
     kind = c.get("t", "n")
     formula = c.find(f"{_MAIN}f")
     if formula is not None and not cached:
-        return "=" + (formula.text or "")
+        if formula.text or formula.get("si") not in shared:
+            return "=" + (formula.text or "")
+        start, text = shared[formula.get("si")]
+        ref = c.get("r")
+        row = lambda x: int(re.sub("[^0-9]", "", x))
+        return "=" + moved(text, row(ref) - row(start), _column(ref) - _column(start))
     if kind == "inlineStr":
         inline = c.find(f"{_MAIN}is")
         return _plain(inline) if inline is not None else None
@@ -225,7 +277,7 @@ def _write(z: zipfile.ZipFile, sheets) -> None:
 
 
 _QUOTES = {'"': "&quot;"}
-_BARRED = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f]")
+_BARRED = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]")
 
 
 def _with_header(names: list[str], rows: Iterator[list[Any]]) -> Iterator[list[Any]]:
@@ -241,21 +293,36 @@ def _letters(column: int) -> str:
     return out
 
 
-def _cell(x: Any, ref: str) -> str:
+def is_date(x: Any) -> bool:
+    return isinstance(x, dt.date)
+
+
+def _cell(x: Any, ref: str, style: int | None = None, late: bool = False) -> str:
+    """A cell's XML; text that begins with = is a formula. style: of a workbook that has its own."""
+    shown = lambda own: f' s="{own if style is None else style}"' if own or style else ""
     match x:
         case None:
-            return ""
+            return f'<c r="{ref}"{shown(0)}/>' if style else ""
         case bool():
-            return f'<c r="{ref}" t="b"><v>{int(x)}</v></c>'
+            return f'<c r="{ref}"{shown(0)} t="b"><v>{int(x)}</v></c>'
+        case float() if not math.isfinite(x):
+            return f'<c r="{ref}"{shown(0)} t="e"><v>#NUM!</v></c>'
         case int() | float():
-            return f'<c r="{ref}"><v>{x!r}</v></c>'
+            return f'<c r="{ref}"{shown(0)}><v>{x!r}</v></c>'
         case dt.datetime():
-            return f'<c r="{ref}" s="2"><v>{_serial(x)!r}</v></c>'
+            return f'<c r="{ref}"{shown(2)}><v>{_serial(x, late)!r}</v></c>'
         case dt.date():
-            return f'<c r="{ref}" s="1"><v>{int(_serial(dt.datetime.combine(x, dt.time())))}</v></c>'
-    return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(_BARRED.sub("", str(x)))}</t></is></c>'
+            return f'<c r="{ref}"{shown(1)}><v>{int(_serial(dt.datetime.combine(x, dt.time()), late))}</v></c>'
+    text = str(x)
+    if m := _BARRED.search(text):
+        raise DataError(f"Cell {ref} can't hold the character {m[0]!r}")
+    if text[:1] == "=" and len(text) > 1:
+        return f'<c r="{ref}"{shown(0)}><f>{escape(text[1:])}</f></c>'
+    return f'<c r="{ref}"{shown(0)} t="inlineStr"><is><t xml:space="preserve">{escape(text)}</t></is></c>'
 
 
-def _serial(x: dt.datetime) -> float:
+def _serial(x: dt.datetime, late: bool = False) -> float:
+    if late:
+        return (x - dt.datetime(1904, 1, 1)) / dt.timedelta(days=1)
     days = (x - dt.datetime(1899, 12, 30)) / dt.timedelta(days=1)
     return days if days >= 61 else days - 1
