@@ -57,6 +57,7 @@ _SPACED = re.compile(rf"(?<![^\W_])(?<![^\W_]['’]){_UNIT}(?:{_PART}{_UNIT}){{2
 _MAYBE_SPACED = re.compile(rf"[ \t._*~/,-]{_UNIT}[ \t._*~/,-]++{_UNIT}")
 _PARTS = re.compile(r"[ \t._*~/,-]+")
 _REPEATED = re.compile(r"([^\W\d_])\1\1")
+_WHITE = re.compile(r"[ \n\t]")
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: What may stand around a stretch; signs that letters are written with stay.
 _AROUND = ".,;:?\"')[]{}<>-_#&%=/\\~`^’‘“”«»"
@@ -235,20 +236,26 @@ class Restorer:
         return [w for s in stretches for w in self.read(s)]
 
     def _signed(self, low: str) -> Iterator[str]:
-        """The pieces between white space that have letters and signs or digits, unless one sign stands around a common
-        word. A piece without letters is a number or a sign."""
+        """The pieces between white space that have letters and signs or digits. A piece without letters is a number or a
+        sign. Signs that stand around are none of it where one is repeated, where they are an exclamation mark after or a
+        bracket before, or where the word is common."""
         end = 0
         for m in _SIGN.finditer(low):
             if (at := m.start()) < end:
                 continue
-            start = max(low.rfind(" ", 0, at), low.rfind("\n", 0, at), low.rfind("\t", 0, at)) + 1
-            end = min(e if (e := low.find(c, at)) >= 0 else len(low) for c in " \n\t")
+            start = low.rfind(" ", 0, at) + 1
+            start = max(start, low.rfind("\n", start, at) + 1, low.rfind("\t", start, at) + 1)
+            end = found.start() if (found := _WHITE.search(low, at)) else len(low)
             piece = low[start:end].strip(_AROUND)
             core = piece.strip(_AROUND + _SIGNS)
-            if len(core) < 2 and len(piece) < 3 or not _LETTERS.search(piece):
-                continue
-            around = {c for c in piece if c in _SIGNS}
-            if _SIGN.search(core) or len(around) > 1 or around and core not in self.common:
+            if core != piece and not _SIGN.search(core):
+                lead, tail = piece[: piece.find(core)].strip(_AROUND), piece[piece.find(core) + len(core) :].strip(_AROUND)
+                lead = "" if lead == "(" or len(lead) > 1 and len(set(lead)) == 1 else lead
+                tail = "" if len(set(tail)) == 1 and (len(tail) > 1 or tail == "!") else tail
+                piece = lead + core + tail
+                if not lead + tail or len(set(lead + tail)) == 1 and core in self.common:
+                    continue
+            if _LETTERS.search(piece) and (len(core) > 1 or len(piece) > 2):
                 yield piece
 
 
