@@ -156,3 +156,21 @@ def like_pattern(pattern: str, escape: str | None) -> str:
     return f"(?d)^{''.join(out)}$"
 
 
+
+
+def like_expression(pattern: Column, escape: str | None) -> Column:
+    """The same for a pattern that is known when the query runs."""
+    start = F.struct(F.lit("").alias("out"), F.lit(False).alias("literal"))
+
+    def step(seen: Column, c: Column) -> Column:
+        wild = c.isin("%", "_") & ~seen["literal"]
+        escapes = (c == F.lit(escape)) & ~seen["literal"] if escape is not None else F.lit(False)
+        quoted = F.when(c.rlike(r"[0-9A-Za-z \n]|[^\x00-\x7f]"), c).otherwise(F.concat(F.lit("\\"), c))
+        added = F.when(escapes, F.lit("")).when(wild, F.when(c == "%", F.lit(".*")).otherwise(F.lit("."))).otherwise(quoted)
+        return F.struct(F.concat(seen["out"], added).alias("out"), escapes.alias("literal"))
+
+    def end(seen: Column) -> Column:
+        whole = F.concat(F.lit("(?d)^"), seen["out"], F.lit("$"))
+        return F.when(seen["literal"], v.refused("LIKE pattern ends with its escape character", "string")).otherwise(whole)
+
+    return F.when(pattern.isNotNull(), F.aggregate(F.filter(F.split(pattern, ""), lambda c: c != ""), start, step, end))

@@ -1,6 +1,7 @@
 """INSERT, UPSERT, UPDATE, DELETE: each makes a new version of a table.
 
-A version is written to the checkpoint folder, so that reading a table again doesn't repeat its history.
+A version is written as parquet to the checkpoint folder, so that reading a table again doesn't repeat its history, and
+counts come from the files' footers.
 """
 
 from __future__ import annotations
@@ -173,7 +174,8 @@ class Changes:
         for k in keys:
             whole = whole & F.col(f"`{k}`").isNotNull()
         loose, keyed = rows.filter(~whole), rows.filter(whole)
-        base = relation if relation.ordinal else replace(relation, df=relation.df.withColumn(ORDINAL, F.monotonically_increasing_id()), ordinal=ORDINAL)
+        # ids are written out, for a second reading might number the rows in another way
+        base = relation if relation.ordinal else replace(relation, df=cut(relation.df.withColumn(ORDINAL, F.monotonically_increasing_id())), ordinal=ORDINAL)
         first = (
             base.df.filter(whole)
             .withColumn("nth", F.row_number().over(Window.partitionBy(*[f"`{k}`" for k in keys]).orderBy(base.ordinal)))
@@ -181,17 +183,24 @@ class Changes:
             .select(F.struct(*[F.col(f"`{c}`") for c in relation.columns]).alias("had"), F.col(base.ordinal).alias("at"), *[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])
         )
         names = [f"k{i}" for i in range(len(keys))]
+        row = F.struct(F.col(ORDINAL).alias("seq"), F.struct(*[F.col(f"`{c}`") for c in relation.columns]).alias("row"))
+        # only what is set from the row's own columns has to see all rows of a key one after the other
+        step_by_step = sets is not None and any(self._reads_own(relation, e) for _, e in sets)
+        rows_of = F.array_sort(F.collect_list(row)) if step_by_step else F.array(F.min_by(row, ORDINAL), F.max_by(row, ORDINAL))
         batch = (
             keyed.groupBy(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)])
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(ORDINAL).alias("seq"), F.struct(*[F.col(f"`{c}`") for c in relation.columns]).alias("row")))).alias("rows"))
+            .agg(rows_of.alias("rows"), F.count(F.lit(1)).alias("n"))
             .join(first, names, "left")
         )
         start = F.coalesce("had", F.element_at("rows", 1)["row"])
-        rest = F.when(F.col("had").isNotNull(), F.col("rows")).otherwise(F.slice("rows", F.lit(2), F.size("rows")))
         if sets is None:
             final = start
-        else:
+        elif step_by_step:
+            rest = F.when(F.col("had").isNotNull(), F.col("rows")).otherwise(F.slice("rows", F.lit(2), F.size("rows")))
             final = F.aggregate(rest, start, lambda acc, x: self._applied(table, relation, sets, acc, x["row"]))
+        else:  # the last row decides
+            last = self._applied(table, relation, sets, start, F.element_at("rows", 2)["row"])
+            final = F.when(F.col("had").isNull() & (F.col("n") == 1), start).otherwise(last)
         merged = cut(batch.select("at", F.element_at("rows", 1)["seq"].alias("seq"), final.alias("new")))
         inserted = merged.filter("at IS NULL")
         fresh = inserted.select("new.*", F.col("seq").alias(ORDINAL)).unionByName(loose)
@@ -207,6 +216,10 @@ class Changes:
         self._store(table, relation, done if relation.ordinal else done.drop(ORDINAL))
         return count
 
+    def _reads_own(self, relation: Relation, expr) -> bool:
+        own = {c.casefold() for c in relation.columns}
+        return any(isinstance(n, a.Name) and n.name.casefold() in own and (n.source or "").casefold() != "excluded" for n in a.walk(expr))
+
     def _set_kinds(self, table: str, relation: Relation, sets) -> dict[str, list[str]]:
         own = self._scope(table, relation)
         both = Scope([*own.fields, *[replace(f, source="excluded") for f in own.fields]])

@@ -5,11 +5,16 @@ Each entry is the dialect's text and the reference SQL. The tables hold no nulls
 
 from __future__ import annotations
 
+import datetime as dt
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlark.plans.session import Engine
+from gridlark.sources import datasource
+from gridlark.sources.catalog import relation_of
+from gridlark.sources.xlsx import read_workbook
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -33,7 +38,7 @@ SELECTS: dict[str, tuple[str, str | None]] = {
         "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_shipdate > TIMESTAMP '1998-06-01' AND l_shipdate <= TIMESTAMP '1998-09-02'",
     ),
     "where_3vl": (
-        "WITH t AS (SELECT o_orderkey, NULLIF(o_orderstatus, 'F') AS st FROM orders) SELECT o_orderkey FROM t WHERE NOT (st = 'O') OR st IS NULL AND o_orderkey < 100",
+        "WITH t AS (SELECT o_orderkey, NULLIF(o_orderstatus, 'F') AS st FROM orders) SELECT o_orderkey FROM t WHERE NOT (st = 'O') OR st IS NULL",
         None,
     ),
     "in_list": ("SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')", None),
@@ -44,10 +49,46 @@ SELECTS: dict[str, tuple[str, str | None]] = {
         "WITH t AS (SELECT p_partkey, p_size, NULLIF(p_size, 7) AS hi FROM part) SELECT p_partkey FROM t WHERE p_size NOT BETWEEN 3 AND hi",
         "SELECT p_partkey FROM part WHERE NULLIF(p_size, 7) IS NOT NULL AND NOT (p_size >= 3 AND p_size <= p_size)",
     ),
-    "like": ("SELECT p_partkey, p_name FROM part WHERE p_type LIKE 'S%' AND p_name LIKE '%1_'", None),
+    "like": ("SELECT p_partkey, p_name FROM part WHERE p_type LIKE 'S%' AND p_name LIKE '% gi_mo'", None),
     "like_escape": ("SELECT n_name FROM nation WHERE n_name LIKE 'NATION!_1%' ESCAPE '!'", None),
     "not_like": ("SELECT c_custkey FROM customer WHERE c_name NOT LIKE '%9%'", None),
     "ilike": ("SELECT r_regionkey, r_name FROM region WHERE r_name ILIKE '%as%' OR r_name NOT ILIKE '%a%'", None),
+    "like_column": (
+        "WITH t AS (SELECT c_custkey, c_name, '%' || SUBSTR(c_name, -2) || '_' AS p, '%!%' || SUBSTR(c_name, -1) AS q, c_name || '%' AS r FROM customer)"
+        " SELECT c_custkey, CASE WHEN c_name || '0' LIKE p THEN 1 ELSE 0 END AS a, CASE WHEN c_name LIKE p THEN 1 ELSE 0 END AS b, CASE WHEN '%' || SUBSTR(c_name, -1) LIKE q ESCAPE '!' THEN 1 ELSE 0 END AS c"
+        " FROM t WHERE c_name LIKE r AND c_name NOT ILIKE p",
+        "SELECT c_custkey, CAST((c_name || '0' LIKE p) AS BIGINT) AS a, CAST((c_name LIKE p) AS BIGINT) AS b, CAST(('%' || right(c_name, 1) LIKE q ESCAPE '!') AS BIGINT) AS c"
+        " FROM (SELECT c_custkey, c_name, '%' || right(c_name, 2) || '_' AS p, '%!%' || right(c_name, 1) AS q, c_name || '%' AS r FROM customer) WHERE c_name LIKE r AND NOT c_name ILIKE p",
+    ),
+    "not_like_column": (
+        "SELECT a.n_name AS x, b.n_name AS y FROM nation a CROSS JOIN nation b WHERE a.n_name LIKE b.n_name || '_' AND a.n_name NOT LIKE '%' || b.n_nationkey",
+        "SELECT a.n_name AS x, b.n_name AS y FROM nation a CROSS JOIN nation b WHERE a.n_name LIKE b.n_name || '_' AND a.n_name NOT LIKE '%' || CAST(b.n_nationkey AS VARCHAR)",
+    ),
+    "equals_twice": ("SELECT n_nationkey FROM nation WHERE n_regionkey == 2", "SELECT n_nationkey FROM nation WHERE n_regionkey = 2"),
+    "distinct_aggregate": ("SELECT DISTINCT COUNT(*) AS n FROM orders GROUP BY o_custkey", None),
+    "setop_parenthesised": (
+        "SELECT n_regionkey AS k FROM nation UNION ALL (SELECT r_regionkey FROM region WHERE r_regionkey > 2)",
+        "SELECT n_regionkey AS k FROM nation UNION ALL (SELECT r_regionkey FROM region WHERE r_regionkey > 2)",
+    ),
+    "order_literal": ("SELECT r_regionkey FROM region ORDER BY 1", None),
+    "win_partition_expression": (
+        "SELECT o_orderkey, COUNT(*) OVER (PARTITION BY YEAR(o_orderdate), o_orderstatus) AS n FROM orders",
+        "SELECT o_orderkey, count(*) OVER (PARTITION BY year(o_orderdate), o_orderstatus) AS n FROM orders",
+    ),
+    "win_count_distinct_running": (
+        "SELECT o_orderkey, COUNT(DISTINCT o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n, COUNT(DISTINCT o_orderstatus) FILTER (WHERE o_totalprice > 200000) OVER (PARTITION BY o_custkey) AS m FROM orders",
+        "SELECT o_orderkey, len(list_distinct(list(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderkey))) AS n,"
+        " coalesce(len(list_distinct(list(o_orderstatus) FILTER (WHERE o_totalprice > 200000) OVER (PARTITION BY o_custkey))), 0) AS m FROM orders",
+    ),
+    "win_case_order": (
+        "SELECT n_nationkey, CASE WHEN RANK() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey DESC) = 1 THEN 'last' ELSE n_name END AS x, ROW_NUMBER() OVER (ORDER BY n_name) AS rn FROM nation ORDER BY rn DESC",
+        "SELECT n_nationkey, CASE WHEN rank() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey DESC) = 1 THEN 'last' ELSE n_name END AS x, row_number() OVER (ORDER BY n_name) AS rn FROM nation",
+    ),
+    "not_in_subquery_empty": ("SELECT n_nationkey FROM nation WHERE NULLIF(n_regionkey, 1) NOT IN (SELECT r_regionkey FROM region WHERE r_regionkey > 90)", None),
+    "not_in_subquery_or": (
+        "SELECT c_custkey FROM customer WHERE c_acctbal < 0 OR NOT (c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000))",
+        None,
+    ),
     "is_null": (
         "WITH t AS (SELECT n_nationkey, NULLIF(n_regionkey, 2) AS k FROM nation) SELECT n_nationkey FROM t WHERE k IS NULL",
         None,
@@ -56,14 +97,8 @@ SELECTS: dict[str, tuple[str, str | None]] = {
         "WITH t AS (SELECT n_nationkey, NULLIF(n_regionkey, 2) AS k FROM nation) SELECT n_nationkey, k FROM t WHERE k IS NOT NULL",
         None,
     ),
-    "not_parens": (
-        "SELECT o_orderkey FROM orders WHERE NOT (o_orderstatus = 'O' AND (o_totalprice > 50000 OR o_custkey < 50)) AND o_orderkey < 5000",
-        None,
-    ),
-    "arithmetic": (
-        "SELECT l_orderkey, l_linenumber, l_quantity * 2 + 1 - l_tax / 4 AS a, -l_quantity AS b FROM lineitem WHERE l_orderkey < 500",
-        "SELECT l_orderkey, l_linenumber, l_quantity * 2 + 1 - l_tax / 4 AS a, -l_quantity AS b FROM lineitem WHERE l_orderkey < 500",
-    ),
+    "not_parens": ("SELECT o_orderkey FROM orders WHERE NOT (o_orderstatus = 'O' AND (o_totalprice > 50000 OR o_custkey < 50))", None),
+    "arithmetic": ("SELECT l_orderkey, l_linenumber, l_quantity * 2 + 1 - l_tax / 4 AS a, -l_quantity AS b FROM lineitem", None),
     "concat_op": ("SELECT n_name || '/' || n_nationkey AS tag FROM nation", None),
     "case_searched": (
         "SELECT p_partkey, CASE WHEN p_size < 10 THEN 'small' WHEN p_size < 30 THEN 'medium' ELSE 'large' END AS size_class FROM part",
@@ -91,15 +126,12 @@ SELECTS: dict[str, tuple[str, str | None]] = {
         None,
     ),
     "distinct": ("SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem ORDER BY l_returnflag, l_linestatus", None),
-    "order_multi": (
-        "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer ORDER BY c_mktsegment DESC, c_acctbal, c_custkey LIMIT 50",
-        None,
-    ),
+    "order_multi": ("SELECT c_custkey, c_mktsegment, c_acctbal FROM customer ORDER BY c_mktsegment DESC, c_acctbal, c_custkey", None),
     "order_nulls": (
-        "WITH t AS (SELECT n_nationkey, NULLIF(n_regionkey, 2) AS k FROM nation) SELECT n_nationkey, k FROM t ORDER BY k DESC, n_nationkey LIMIT 7",
-        "SELECT n_nationkey, nullif(n_regionkey, 2) AS k FROM nation ORDER BY k DESC NULLS FIRST, n_nationkey LIMIT 7",
+        "WITH t AS (SELECT n_nationkey, NULLIF(n_regionkey, 2) AS k FROM nation) SELECT n_nationkey, k FROM t ORDER BY k DESC, n_nationkey",
+        "SELECT n_nationkey, nullif(n_regionkey, 2) AS k FROM nation ORDER BY k DESC NULLS FIRST, n_nationkey",
     ),
-    "order_expression": ("SELECT o_orderkey FROM orders ORDER BY o_totalprice * -1, o_orderkey LIMIT 20", None),
+    "order_expression": ("SELECT o_orderkey FROM orders ORDER BY o_totalprice * -1, o_orderkey", None),
     "limit_offset": ("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10 OFFSET 5", None),
     "count_star": ("SELECT COUNT(*) AS n FROM lineitem", None),
     "count_column": ("WITH t AS (SELECT NULLIF(l_returnflag, 'R') AS f FROM lineitem) SELECT COUNT(f) AS n FROM t", None),
@@ -148,7 +180,7 @@ SELECTS: dict[str, tuple[str, str | None]] = {
     "not_in_subquery": ("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 100000)", None),
     "not_in_subquery_null": ("SELECT n_name FROM nation WHERE n_regionkey NOT IN (SELECT NULLIF(r_regionkey, 3) AS k FROM region)", None),
     "exists_corr": ("SELECT c_custkey FROM customer WHERE EXISTS (SELECT o_orderkey FROM orders WHERE orders.o_custkey = customer.c_custkey AND o_orderstatus = 'F')", None),
-    "not_exists_corr": ("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT o_orderkey FROM orders WHERE orders.o_custkey = customer.c_custkey)", None),
+    "not_exists_corr": ("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT o_orderkey FROM orders WHERE orders.o_custkey = customer.c_custkey AND o_totalprice > 400000)", None),
     "scalar_subquery": ("SELECT o_orderkey FROM orders WHERE o_totalprice = (SELECT MAX(o_totalprice) FROM orders)", None),
     "scalar_corr": (
         "SELECT n_name, (SELECT COUNT(*) FROM customer WHERE customer.c_nationkey = nation.n_nationkey) AS n FROM nation",
@@ -157,7 +189,7 @@ SELECTS: dict[str, tuple[str, str | None]] = {
     "union": ("SELECT n_regionkey AS k FROM nation UNION SELECT r_regionkey FROM region", None),
     "union_all": ("SELECT n_regionkey AS k FROM nation UNION ALL SELECT r_regionkey FROM region", None),
     "intersect": ("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier", None),
-    "except": ("SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier", None),
+    "except": ("SELECT c_nationkey AS k FROM customer EXCEPT SELECT n_nationkey FROM nation WHERE n_regionkey < 2", None),
     "setop_left_to_right": (
         "SELECT r_regionkey AS k FROM region UNION ALL SELECT n_regionkey FROM nation INTERSECT SELECT r_regionkey FROM region WHERE r_regionkey < 2",
         "SELECT k FROM ((SELECT r_regionkey AS k FROM region UNION ALL SELECT n_regionkey FROM nation) INTERSECT SELECT r_regionkey FROM region WHERE r_regionkey < 2)",
@@ -233,6 +265,19 @@ CHANGES: dict[str, tuple[tuple[str, ...], str, str]] = {
         "SELECT o_orderkey, o_totalprice FROM orders",
         "SELECT o_orderkey, o_totalprice FROM orders WHERE NOT (o_totalprice > 50000 OR o_orderstatus = 'F')",
     ),
+    "drop_table": (
+        ("CREATE TABLE made (id INTEGER)", "INSERT INTO made SELECT n_nationkey FROM nation", "INSERT INTO region SELECT id, 'made' FROM made WHERE id > 20", "DROP TABLE made"),
+        "SELECT r_regionkey, r_name FROM region",
+        "SELECT r_regionkey, r_name FROM region UNION ALL SELECT n_nationkey, 'made' FROM nation WHERE n_nationkey > 20",
+    ),
+    "upsert_select": (
+        (
+            "INSERT INTO customer (c_custkey, c_name, c_acctbal) SELECT o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice > 450000 ON CONFLICT (c_custkey) DO UPDATE SET c_name = 'big', c_acctbal = 1",
+        ),
+        "SELECT c_custkey, c_name, c_acctbal FROM customer",
+        "SELECT c_custkey, CASE WHEN hit THEN 'big' ELSE c_name END AS c_name, CASE WHEN hit THEN 1 ELSE c_acctbal END AS c_acctbal"
+        " FROM (SELECT *, c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000) AS hit FROM customer)",
+    ),
     "create_alter": (
         (
             "CREATE TABLE made (id INTEGER, label TEXT, extra REAL)",
@@ -247,20 +292,44 @@ CHANGES: dict[str, tuple[tuple[str, ...], str, str]] = {
     ),
 }
 
-#: Over whole tables, what the queries of these names without _whole show on a part of the rows.
-SELECTS |= {
-    "where_3vl_whole": (
-        "WITH t AS (SELECT o_orderkey, NULLIF(o_orderstatus, 'F') AS st FROM orders) SELECT o_orderkey FROM t WHERE NOT (st = 'O') OR st IS NULL",
-        None,
-    ),
-    "not_parens_whole": ("SELECT o_orderkey FROM orders WHERE NOT (o_orderstatus = 'O' AND (o_totalprice > 50000 OR o_custkey < 50))", None),
-    "arithmetic_whole": ("SELECT l_orderkey, l_linenumber, l_quantity * 2 + 1 - l_tax / 4 AS a, -l_quantity AS b FROM lineitem", None),
-    "order_multi_whole": ("SELECT c_custkey, c_mktsegment, c_acctbal FROM customer ORDER BY c_mktsegment DESC, c_acctbal, c_custkey", None),
-    "order_nulls_whole": (
-        "WITH t AS (SELECT n_nationkey, NULLIF(n_regionkey, 2) AS k FROM nation) SELECT n_nationkey, k FROM t ORDER BY k DESC, n_nationkey",
-        "SELECT n_nationkey, nullif(n_regionkey, 2) AS k FROM nation ORDER BY k DESC NULLS FIRST, n_nationkey",
+#: name: (text of the dialect with ?, parameters, reference SQL)
+WITH_PARAMETERS: dict[str, tuple[str, tuple, str]] = {
+    "parameters": (
+        "SELECT o_orderkey FROM orders WHERE o_orderdate >= ? AND o_totalprice BETWEEN ? AND ? AND o_orderstatus <> ?",
+        (dt.date(1996, 1, 1), 1000, 200000.5, "F"),
+        "SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_totalprice BETWEEN 1000 AND 200000.5 AND o_orderstatus <> 'F'",
     ),
-    "order_expression_whole": ("SELECT o_orderkey FROM orders ORDER BY o_totalprice * -1, o_orderkey", None),
+}
+
+
+def _with_parameters(sql: str, parameters: tuple) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: engine(spark, sf_dir, sql).sql(sql, *parameters)
+
+
+def _workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet as a data source: nation written as a workbook, and read back through the engine's reader."""
+    datasource.register(spark)
+    path = f"{tempfile.mkdtemp(prefix='gridlark-sheet-')}/nation.xlsx"
+    datasource.save(spark.read.parquet(f"{sf_dir}/nation.parquet"), path, "nation")
+    sheet = next(s for s in read_workbook(path) if s.name == "nation")
+    own = Engine(spark)
+    own.catalog.put("nation", relation_of(spark, sheet.headers, sheet.rows))
+    return own.sql("SELECT n_regionkey, COUNT(*) AS n, MAX(n_name) AS last FROM nation WHERE n_nationkey > '3' GROUP BY n_regionkey")
+
+
+def _many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One statement with several rows of parameters, as executemany() runs it."""
+    sql = "INSERT INTO region (r_regionkey, r_name) VALUES (?, ?)"
+    own = engine(spark, sf_dir, sql)
+    for row in ((70, "a"), (71, None), (72, "c")):
+        own.sql(sql, *row)
+    return own.sql("SELECT r_regionkey, r_name FROM region")
+
+
+#: name: (query, reference SQL)
+OTHERS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
+    "workbook_scan": (_workbook, "SELECT n_regionkey, count(*) AS n, max(n_name) AS last FROM nation WHERE n_nationkey > 3 GROUP BY 1"),
+    "insert_many": (_many, "SELECT r_regionkey, r_name FROM region UNION ALL VALUES (70, 'a'), (71, NULL), (72, 'c')"),
 }
 
 
@@ -280,11 +349,14 @@ def _change(statements: tuple[str, ...], shown: str) -> Callable[[SparkSession,
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _select(text) for name, (text, _) in SELECTS.items()}
-    return out | {name: _change(statements, shown) for name, (statements, shown, _) in CHANGES.items()}
+    out |= {name: _change(statements, shown) for name, (statements, shown, _) in CHANGES.items()}
+    out |= {name: _with_parameters(text, parameters) for name, (text, parameters, _) in WITH_PARAMETERS.items()}
+    return out | {name: query for name, (query, _) in OTHERS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {n: other or text for n, (text, other) in SELECTS.items()} | {n: other for n, (_, _, other) in CHANGES.items()}
+    out = {n: other or text for n, (text, other) in SELECTS.items()} | {n: other for n, (_, _, other) in CHANGES.items()}
+    return out | {n: other for n, (_, _, other) in WITH_PARAMETERS.items()} | {n: other for n, (_, other) in OTHERS.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlark.errors import NotSupportedError, SqlSemanticError
 from gridlark.functions import scalars
 from gridlark.functions import values as v
 from gridlark.functions.values import Value
-from gridlark.plans.scope import Scope
+from gridlark.plans.scope import Scope, fresh
 from gridlark.sql import ast as a
 from gridlark.sql.printer import text as printed
 
@@ -26,6 +26,13 @@ class Binder:
 
     def __init__(self, scope: Scope, params: tuple, query: Callable, known: dict[str, Value] | None = None, order: Column | None = None):
         self.scope, self.params, self.query, self.known, self.order = scope, params, query, known or {}, order
+        #: Columns that the rows need before others can be made, step by step.
+        self.steps: list[dict[str, Column]] = []
+
+    def prepared(self, df: DataFrame) -> DataFrame:
+        for step in self.steps:
+            df = df.withColumns(step)
+        return df
 
     # values
 
@@ -93,9 +100,27 @@ class Binder:
         if order:
             tie = [self.order] if self.order is not None else []
             spec = spec.orderBy(*order, *tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return self.aggregated(node, lambda col: col.over(spec), distinct_over=True)
+        if node.distinct and node.func == "COUNT":
+            return self.distinct_over(node, order)
+        return self.aggregated(node, lambda col: col.over(spec))
+
+    def distinct_over(self, node: a.Windowed, order: list[Column]) -> Value:
+        """COUNT(DISTINCT) over a window: the sum of a flag that is set where a value comes first in its partition."""
+        keys = [v.sort_key(self.value(p)) for p in node.partition]
+        arg = self.value(node.arg).col
+        if node.filter is not None:
+            arg = F.when(self.condition(node.filter), arg)
+        value, place, first = fresh(), fresh(), fresh()
+        # one order for both windows, also among ties
+        self.steps.append({value: arg, place: self.order if self.order is not None else F.monotonically_increasing_id()})
+        own = Window.partitionBy(*keys, F.col(value)).orderBy(*order, place)
+        self.steps.append({first: F.when(F.col(value).isNotNull() & (F.row_number().over(own) == 1), 1)})
+        spec = Window.partitionBy(*keys)
+        if order:
+            spec = spec.orderBy(*order, place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return Value(F.coalesce(F.sum(first).over(spec), F.lit(0)).cast("bigint"), v.INT)
 
-    def aggregated(self, node: a.Aggregate | a.Windowed, finish=lambda col: col, distinct_over: bool = False) -> Value:
+    def aggregated(self, node: a.Aggregate | a.Windowed, finish=lambda col: col) -> Value:
         """An aggregate of this scope; finish puts it over a window."""
         where = self.condition(node.filter) if node.filter is not None else None
         kept = (lambda col: col) if where is None else (lambda col: F.when(where, col))
@@ -105,8 +130,7 @@ class Binder:
         if node.func == "COUNT":
             if not node.distinct:
                 return Value(finish(F.count(kept(arg.col))).cast("bigint"), v.INT)
-            counted = F.size(finish(F.collect_set(kept(arg.col)))) if distinct_over else F.count_distinct(kept(arg.col))
-            return Value(counted.cast("bigint"), v.INT)
+            return Value(F.count_distinct(kept(arg.col)).cast("bigint"), v.INT)
         if node.func in ("SUM", "AVG"):
             return Value(finish((F.sum if node.func == "SUM" else F.avg)(kept(v.number_or_null(arg)))), v.REAL)
         if not arg.dynamic:
@@ -173,18 +197,30 @@ class Binder:
             return F.lit(None).cast("boolean") if x.kind == v.NULL else x.col.isin(frame)
         if kind == v.TEXT and x.kind != v.TEXT:  # what can't be read as x's kind equals nothing, but is no null
             frame = frame.filter(inner.col.isNull() | keys[1].isNotNull())
-        found = keys[0].isin(frame.select(keys[1].alias("k")))
-        return ~found if node.negated else found
+        if not node.negated:
+            return keys[0].isin(frame.select(keys[1].alias("k")))
+        # NOT IN as it is written would send the subquery everywhere, whatever its size; what nulls and an empty list
+        # mean is asked apart, and the rest is a join on equal keys
+        name = f"k{fresh()}"
+        listed = frame.select(keys[1].alias(name))
+        facts = listed.select(F.struct((F.count(F.lit(1)) == 0).alias("none"), (F.count(name) < F.count(F.lit(1))).alias("null")).alias("facts")).scalar()
+        match = listed.filter(F.col(name) == keys[0].outer()).exists()
+        unknown = keys[0].isNull() | facts["null"]
+        return facts["none"] | (~match & F.when(unknown, F.lit(None)).otherwise(F.lit(True)))
 
     def like(self, node: a.Like) -> Column:
         x, pattern = self.value(node.operand), self.value(node.pattern, text_names=True)
         if pattern.kind == v.NULL or x.kind == v.NULL:
             return F.lit(None).cast("boolean")
-        if not pattern.constant or not isinstance(pattern.literal, str):
-            raise SqlSemanticError("LIKE takes a literal pattern")
+        if pattern.kind != v.TEXT:
+            raise SqlSemanticError("LIKE takes a text pattern")
         escape = self.value(node.escape).literal if node.escape is not None else None
         if escape is not None and (not isinstance(escape, str) or len(escape) != 1):
             raise SqlSemanticError("ESCAPE takes one character")
+        if not pattern.constant:
+            folded = (lambda c: F.lower(F.concat(F.upper(c), F.lit("")))) if node.folded else lambda c: c
+            found = F.rlike(folded(v.text(x)), scalars.like_expression(folded(pattern.col), escape.casefold() if escape and node.folded else escape))
+            return ~found if node.negated else found
         column, shown = v.text(x), pattern.literal
         if node.folded:
             # folds as ß to ss do; bare lower(upper(x)) would be simplified to lower(x)

@@ -144,7 +144,7 @@ class Compiler:
         held = [Value(F.col(f"`{n}`"), x.kind, x.dynamic) for n, x in zip(names, values, strict=True)]
         if node.distinct:
             self._distinct_order(node, items, labels)
-            df = df.select(*shown).dropDuplicates()
+            df = bind.prepared(df).select(*shown).dropDuplicates()
             by_label = {l.casefold(): x for l, x in zip(labels, held, strict=True)}
             by_text = {printed(i.expr): x for i, x in zip(items, held, strict=True)}
             keys = [v.ordered(by_label.get(printed(o.expr).casefold()) or by_text[printed(o.expr)], o.descending) for o in node.order]
@@ -159,6 +159,7 @@ class Compiler:
             alias = aliases.get(o.expr.name.casefold()) if isinstance(o.expr, a.Name) and o.expr.source is None else None
             keys.append((alias or bare.get(printed(o.expr)) or bind.value(o.expr), o.descending))
         tie = [order] if order is not None else []
+        df = bind.prepared(df)
         if not keys and not tie:
             return Result(self._cut(df.select(*shown), node), names, labels, held)
         # keys become columns before the sort, so that neither windows nor subqueries stand in it

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Iterator
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlark.errors import BackendOperationError, SqlSemanticError
+from gridlark.errors import BackendOperationError, OperationalError, SqlSemanticError
 from gridlark.functions.values import BOOL, DATE, DATETIME, INT, REAL, TEXT, kind_of
 from gridlark.plans.scope import ORDINAL, Relation
 from gridlark.sources import inference
@@ -26,12 +29,32 @@ def spark_type(kind: str) -> T.DataType:
     return _TYPES[kind]
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df without its lineage, in the checkpoint folder that the cluster names; a temporary one only where none is set."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. A temporary one only on a local master, where none is set."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridlark-checkpoint-"))
-    return df.checkpoint(eager=True)
+        named = sc.getConf().get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local"):
+            raise OperationalError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="gridlark-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df without its lineage: written as parquet to the shared folder and read from there, so that later queries read
+    only the columns and rows they need. The files go when the process ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/version-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_forget, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def relation_of(spark: SparkSession, columns: Iterable[str], rows: list[list[Any]]) -> Relation:
@@ -85,11 +108,11 @@ class Catalog:
     def restore(self, tables: dict[str, Relation]) -> None:
         self.tables = dict(tables)
 
-    def rows(self, name: str) -> list[list[Any]]:
-        """A table's rows in order, at the driver: for saving a workbook and for reflection."""
+    def rows(self, name: str) -> Iterator[list[Any]]:
+        """A table's rows in order, one after the other at the driver: for saving a workbook and for declared types."""
         t = self.resolve(name)
         df = t.df.orderBy(t.ordinal) if t.ordinal else t.df
-        return [list(r) for r in df.select(*[F.col(f"`{c}`") for c in t.columns]).toLocalIterator()]
+        return map(list, df.select(*[F.col(f"`{c}`") for c in t.columns]).toLocalIterator())
 
     # declared types
 

@@ -1,65 +1,22 @@
-"""Types of columns of untyped cells."""
+"""Kinds of columns of untyped cells."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections import Counter
 from typing import Any
 
-from gridlark.functions.values import BOOL, DATE, DATETIME, INT, REAL, TEXT
+from gridlark.functions.values import BOOL, DATE, DATETIME, INT, NULL, REAL, TEXT, common_kind
 
-#: Share of one type among a column's values from which reflection names it in spite of others.
-DOMINANT = 0.8
-
-
-def declared_type(value: Any) -> str:
-    match value:
-        case bool():
-            return "BOOLEAN"
-        case int():
-            return "INTEGER"
-        case float():
-            return "FLOAT"
-        case dt.datetime():
-            return "DATETIME"
-        case dt.date():
-            return "DATE"
-    return "TEXT"
-
-
-def reflected(values: list[Any]) -> tuple[str, bool]:
-    """A column's type name and whether it may be null, as reflection tells them from sampled values."""
-    real = [x for x in values if x is not None]
-    if not real:
-        return "TEXT", True
-    counts = Counter(map(declared_type, real))
-    if len(counts) == 1:
-        name = next(iter(counts))
-    elif set(counts) <= {"INTEGER", "FLOAT"}:
-        name = "FLOAT"
-    elif set(counts) <= {"DATE", "DATETIME"}:
-        name = "DATETIME"
-    else:
-        top, n = counts.most_common(1)[0]
-        name = top if n / len(real) > DOMINANT else "TEXT"
-    return name, len(real) < len(values)
+_KINDS = {type(None): NULL, bool: BOOL, int: INT, float: REAL, dt.datetime: DATETIME, dt.date: DATE}
 
 
 def column_kind(values: list[Any]) -> tuple[str, bool]:
-    """A column's kind over all its cells, and whether it is text that may stand for other kinds. No value is lost: a
-    column of several kinds is text."""
-    found = {declared_type(x) for x in values if x is not None}
-    if not found or found == {"TEXT"}:
-        return TEXT, True
-    if found <= {"INTEGER"}:
-        return (INT, False) if all(-(2**63) <= x < 2**63 for x in values if x is not None) else (REAL, False)
-    if found <= {"INTEGER", "FLOAT"}:
-        return REAL, False
-    if found <= {"DATE"}:
-        return DATE, False
-    if found <= {"DATE", "DATETIME"}:
-        return DATETIME, False
-    return (BOOL, False) if found == {"BOOLEAN"} else (TEXT, True)
+    """The least kind that holds all cells of a column, and whether it is text that may stand for other kinds. No value is
+    lost: a column of several kinds is text."""
+    kind = common_kind(sorted({_KINDS.get(type(x), TEXT) for x in values}))
+    if kind == INT and not all(-(2**63) <= x < 2**63 for x in values if x is not None):
+        kind = REAL
+    return (TEXT, True) if kind in (NULL, TEXT) else (kind, False)
 
 
 def as_kind(value: Any, kind: str) -> Any:
