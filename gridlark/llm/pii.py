@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gridlark.llm.common import words_of
+from gridlark.llm.common import ship, words_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -73,9 +73,11 @@ _SPELLED = {
     "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
-_NUMERAL = r"(?:[0-9]+|" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + r")"
+#: The same with digits for letters that look like them, by rule.
+_ALL_SPELLED = _SPELLED | {w.replace(a, b): n for w, n in _SPELLED.items() for a, b in (("o", "0"), ("i", "1"), ("e", "3"), ("s", "5")) if a in w and not w.replace(a, b).isdigit()}
+_NUMERAL = r"(?:" + "|".join(sorted(_ALL_SPELLED, key=len, reverse=True)) + r"|[0-9]+)(?![^\W_])"
 _RUN = re.compile(rf"(?<!\w)(?:(?:plus|\+)[\x20]?)?(?:{_NUMERAL}(?:[\x20.,()-]{{1,3}}(?:(?:dot|punkt|point|punto)[\x20])?)){{3,}}{_NUMERAL}(?!\w)", re.I)
-_WORD = re.compile(r"[^\W\d_]+|[0-9]+|.", re.S)
+_WORD = re.compile(r"[^\W_]+|.", re.S)
 _AT = re.compile(r"\s{0,3}[\[({<]\s{0,3}(?:at|arroba|@)\s{0,3}[\])}>]\s{0,3}", re.I)
 _DOT = re.compile(r"\s{0,3}[\[({<]\s{0,3}(?:dot|punkt|point|punto|\.)\s{0,3}[\])}>]\s{0,3}", re.I)
 _BARE = re.compile(r"(?<![\w.%+-])[A-Za-z0-9_%+.-]{1,64}\s{1,3}(?:at|arroba)\s{1,3}[A-Za-z0-9-]{1,63}(?:(?:\s{1,3}(?:dot|punkt|point|punto)\s{1,3}|\.)[A-Za-z0-9-]{1,63})+", re.I)
@@ -83,8 +85,24 @@ _BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}(?:dot|punkt|point|punto)\s{1,3}
 _BARE_AT = re.compile(r"\s{1,3}(?:at|arroba)\s{1,3}", re.I)
 _BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at|arroba|@|dot|punkt|point|punto|\.)\s{0,3}[\])}>]", re.I)
 _DOT_WORDS, _AT_WORDS = frozenset((b"dot", b"punkt", b"point", b"punto")), frozenset((b"at", b"arroba"))
-_SPELLED_BYTES = frozenset(w.encode() for w in [*_SPELLED, "dot", "punkt", "point", "punto"])
-_TWO_SPELLED = re.compile(rf"(?<![A-Za-z])(?:{'|'.join(_SPELLED)})(?![A-Za-z]).{{1,3}}(?:{'|'.join([*_SPELLED, 'dot', 'punkt', 'point', 'punto'])})(?![A-Za-z])", re.I | re.S)
+_SPELLED_BYTES = frozenset(w.encode() for w in _ALL_SPELLED)
+_SPELLED_WORD = re.compile(rf"(?<![^\W_])(?:{'|'.join(_ALL_SPELLED)})(?![^\W_])", re.I)
+#: Numerals and spelled ones, as letters: four in a row, two of them spelled.
+_FOUR = re.compile(rb"(?=[ds]{4})[ds]*?s[ds]*?s")
+#: "at" before a domain name, a sign with spaces around it, an address with spelled dots.
+_AT_DOMAIN = re.compile(r"\s(?:at|arroba)\s{1,3}[a-z0-9-]{1,63}(?:\.[a-z]|\s{1,3}(?:dot|punkt|point|punto)\s)", re.I)
+_SPACED_AT = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}(\s{0,3}@\s{0,3})[A-Za-z0-9-]{1,63}(?:(?:\.|\s{1,3}\.\s{1,3})[A-Za-z0-9-]{1,63})+")
+_SPACED_DOT = re.compile(r"\s{0,3}\.\s{0,3}")
+_SPELLED_IP = re.compile(r"(?<![\w.])[0-9]{1,3}(?:\s{1,3}(?:dot|punkt|point|punto)\s{1,3}[0-9]{1,3}){3}(?!\w)", re.I)
+# Last labels of domain names; words that stand before an ordinary "at".
+_TOPS = frozenset("com org net edu gov mil int info biz io co dev app me tv ai eu de fr es uk us ca au ch at it nl be se no dk fi pl pt br mx ar cl jp cn kr in ru".split())
+_NO_NAMES = frozenset(
+    "a above again all also an and any are around as available back based be been being below book buy call called check chat code contact daily data day directly down "
+    "document documents email file files find found free from get go going have held help her here him home hosted in index info is it join just kept learn left links list listed "
+    "listen live located look looked looking me meet more not now off office on once online only or order out over page pages people please posted present published read "
+    "register report reports see seen sell shop sign site sites sold source start started starting stay stop store support talk team that the them there these they things this "
+    "those time today track up us use used users version via view visit was watch we website were what work worked working works write you".split()
+)
 
 #: A text and, for each of its characters, where the source characters it stands for start and end.
 Tape = tuple[str, list[int], list[int]]
@@ -135,44 +153,60 @@ def _characters(tape: Tape) -> Tape:
 
 
 def _spelled(tape: Tape) -> Tape:
-    """Runs of four numerals and more become digits if two spelled words stand side by side in them: spaces and commas
-    go, other separators stay, and "dot" and "plus" become signs."""
+    """Runs of four numerals and more become digits if two of them are spelled: spaces and commas go, other separators
+    stay, and "dot" and "plus" become signs."""
     edits = []
     for m in _RUN.finditer(tape[0]):
-        if not _TWO_SPELLED.search(m[0]):
+        if len(_SPELLED_WORD.findall(m[0])) < 2:
             continue
-        parts = [(w.start(), w.end(), w[0].lower()) for w in _WORD.finditer(m[0])]
-        out = []
-        for a, b, w in parts:
-            new = _SPELLED.get(w) or ("." if w in ("dot", "punkt", "point", "punto") else "+" if w == "plus" else "" if w in " ," else w)
-            out.append((m.start() + a, m.start() + b, new))
-        edits += out
+        for w in _WORD.finditer(m[0]):
+            word = w[0].lower()
+            new = _ALL_SPELLED.get(word) or ("." if word in ("dot", "punkt", "point", "punto") else "+" if word == "plus" else "" if word in " ," else word)
+            edits.append((m.start() + w.start(), m.start() + w.end(), new))
     return _rewrite(tape, edits) if edits else tape
 
 
 def _signs(tape: Tape) -> Tape:
-    """at and dot in brackets become signs, and bare ones where a name, at and a dotted domain stand together."""
+    """at and dot in brackets become signs, and bare ones where a name, at and a dotted domain stand together; spelled dots
+    among the numbers of an address; and spaces around signs of an address go."""
     for pattern, sign in ((_AT, "@"), (_DOT, ".")):
         if edits := [(*m.span(), sign) for m in pattern.finditer(tape[0])]:
             tape = _rewrite(tape, edits)
     if edits := [(*m.span(), ".") for m in _BARE_DOT.finditer(tape[0]) if "@" in tape[0][max(0, m.start() - 80) : m.start()]]:
         tape = _rewrite(tape, edits)
     edits = []
-    for m in _BARE.finditer(tape[0]):
+    for m in _BARE.finditer(tape[0]) if _AT_DOMAIN.search(tape[0]) else ():
         a = _BARE_AT.search(tape[0], m.start())
         dots = [d for d in _BARE_DOT.finditer(tape[0], a.end(), m.end())]
-        if dots:  # an ordinary "at" before a domain name is no disguise
+        # an ordinary "at" before a domain name is no disguise
+        if dots or m[0].rpartition(".")[2].lower() in _TOPS and tape[0][m.start() : a.start()].lower() not in _NO_NAMES:
             edits += [(*a.span(), "@"), *[(*d.span(), ".") for d in dots]]
+    tape = _rewrite(tape, edits) if edits else tape
+    if edits := [(*d.span(), ".") for m in _SPELLED_IP.finditer(tape[0]) for d in _BARE_DOT.finditer(tape[0], m.start(), m.end())]:
+        tape = _rewrite(tape, edits)
+    edits = []
+    for m in _SPACED_AT.finditer(tape[0]) if " @" in tape[0] or "@ " in tape[0] or " ." in tape[0] and "@" in tape[0] else ():
+        dots = [d for d in _SPACED_DOT.finditer(tape[0], m.end(1), m.end())]
+        ends = [*[d.start() for d in dots[1:]], m.end()]
+        # up to the last label that ends domain names; what follows belongs to the next sentence
+        tops = [i for i, (d, end) in enumerate(zip(dots, ends, strict=True)) if tape[0][d.end() : end].lower() in _TOPS]
+        if tops and any(c.isspace() for c in tape[0][m.start(1) : ends[tops[-1]]]):
+            edits += [(*m.span(1), "@"), *[(*d.span(), ".") for d in dots[: tops[-1] + 1]]]
     return _rewrite(tape, edits) if edits else tape
 
 
+def _numeral(word: bytes) -> int:
+    return 115 if word in _SPELLED_BYTES else 100 if word.isdigit() or word in _DOT_WORDS or word == b"plus" else 120
+
+
 def restored(text: str) -> Tape | None:
     """The text without its disguises; None if nothing hints at any."""
     foreign = not text.isascii() and _FOREIGN.search(text) is not None
     words = words_of(text.encode())
     named = not _DOT_WORDS.isdisjoint(words)
-    signs = named or _BRACKETED.search(text) is not None
-    spelled = b"\x01\x01" in bytes(map(_SPELLED_BYTES.__contains__, words))
+    spaced = "@" in text and (" @" in text or "@ " in text or " . " in text)
+    signs = named or spaced or _BRACKETED.search(text) is not None or not _AT_WORDS.isdisjoint(words) and _AT_DOMAIN.search(text) is not None
+    spelled = bytes(map(_SPELLED_BYTES.__contains__, words)).count(1) > 1 and _FOUR.search(bytes(map(_numeral, words))) is not None
     if not (foreign or signs or spelled):
         return None
     tape: Tape = (text, list(range(len(text))), list(range(1, len(text) + 1)))
@@ -183,7 +217,8 @@ def restored(text: str) -> Tape | None:
 
 
 def all_spans(text: str) -> tuple[list[list[tuple[int, int]]], list[list[tuple[int, int]]]]:
-    """The plain spans and, kind by kind, those with what the restored text adds: spans that touch no plain one."""
+    """The plain spans and, kind by kind, those with what the restored text adds: spans that no plain one holds. One that
+    goes beyond a plain one, as where a look-alike letter begins it, stands beside it."""
     base = base_spans(text)
     if (tape := restored(text)) is None:
         return base, base
@@ -194,7 +229,8 @@ def all_spans(text: str) -> tuple[list[list[tuple[int, int]]], list[list[tuple[i
         for a, b in mapped:
             while at < len(kind) and kind[at][1] <= a:
                 at += 1
-            if (at == len(kind) or kind[at][0] >= b) and (not new or new[-1][1] <= a):
+            held = at < len(kind) and kind[at][0] <= a and b <= kind[at][1]
+            if not held and (not new or new[-1][1] <= a):
                 new.append((a, b))
         whole.append(sorted([*kind, *new]))
     return base, whole
@@ -225,6 +261,7 @@ def find_pii(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
                 names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_disguised"],
             )
 
+    ship(docs.sparkSession)
     kind = dict(docs.dtypes)[doc_id]
     return docs.selectExpr(f"`{doc_id}` AS doc_id", f"CAST(`{text}` AS STRING) AS text").mapInArrow(
         run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_disguised long"

@@ -64,6 +64,12 @@ def test_query(spark):
         ("ip one nine two dot one six eight dot one dot one", "ip", "one nine two dot one six eight dot one dot one"),
         ("ruf plus vier neun drei null fünf fünf fünf eins zwei an", "phone", "plus vier neun drei null fünf fünf fünf eins zwei"),
         ("host １９２.168.0.1", "ip", "１９２.168.0.1"),
+        ("write john at example.com now", "email", "john at example.com"),
+        ("from 192 dot 168 dot 0 dot 1 on", "ip", "192 dot 168 dot 0 dot 1"),
+        ("ask jane @ example . com. Then go", "email", "jane @ example . com"),
+        ("ask jane @ example.com . Then go", "email", "jane @ example.com"),
+        ("plus one eight 0ne 5 five five 1 2 3 four ok", "phone", "plus one eight 0ne 5 five five 1 2 3 four"),
+        ("plus five 5 one 0 three 2 1 9 9 2", "phone", "plus five 5 one 0 three 2 1 9 9 2"),
         ("x 4111​1111​1111​1111 y", "card", "4111​1111​1111​1111"),
     ],
 )
@@ -73,7 +79,14 @@ def test_disguises_map_back(text, kind, shown):
     assert [text[a:b] for a, b in spans] == [shown] and not base[pii.KINDS.index(kind)]
 
 
-@pytest.mark.parametrize("text", ["meet me at example.com ok", "ελληνικά και кириллица", "one of the two, point taken", "at noon dot matrix", "he is number one one day", ""])
+def test_a_disguise_that_goes_beyond_a_plain_span():
+    text = "to \u0430dmin@example.com now"
+    base, whole = pii.all_spans(text)
+    assert [text[a:b] for a, b in base[0]] == ["dmin@example.com"]
+    assert [text[a:b] for a, b in whole[0]] == ["\u0430dmin@example.com", "dmin@example.com"]
+
+
+@pytest.mark.parametrize("text", ["meet me at example.com ok", "look at this . com @ night", "we are at version 2.0 of it", "one two or 3 dot 4", "ελληνικά και кириллица", "one of the two, point taken", "at noon dot matrix", "he is number one one day", ""])
 def test_plain_texts_stay_clean(text):
     assert pii.joined(pii.all_spans(text)[1]) == ""
 
