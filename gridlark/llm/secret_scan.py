@@ -120,20 +120,20 @@ def _joined(order: list[str], only: Column | None = None) -> Column:
 
 
 def find_secrets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """A row per row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example.
+    """A row per row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, most_owners,
+    most_repositories.
 
     The counts and the digest are of the base kinds, spans has the added kinds too, by start, then kind; a private key's
-    span runs from header to END line, its value is the body. n_live counts
-    spans whose value looks random and stands with fewer than SHARED_OWNERS owners and in fewer than SHARED_REPOSITORIES
-    repositories, n_example those of values that at least so many have of either. Offsets count code points. A null text counts as empty, a null owner or repository is
-    one called ''; repeated rows get a row each; an empty table gives none. Columns besides the four that are named are
-    not read.
+    span runs from header to END line, its value is the body. n_live counts spans whose value looks random and stands with
+    fewer than SHARED_OWNERS owners and in fewer than SHARED_REPOSITORIES repositories, n_example those of values that at
+    least so many have of either. most_owners and most_repositories are those of the row's most shared value, 0 without
+    any. Offsets count code points. A null text counts as empty, a null owner or repository is one called ''; repeated
+    rows get a row each; an empty table gives none. Columns besides the four that are named are not read.
     """
     rows, found = candidates(docs, doc_id=doc_id, text=text, owner=owner, repository=repository)
     # of its own, so that a value that stands everywhere can be split in the join, or the join be a broadcast
-    examples = checkpointed(ownership(found).filter((F.col("n_owners") >= SHARED_OWNERS) | (F.col("n_repositories") >= SHARED_REPOSITORIES)))
-    judged = found.join(small(examples), "hash", "left")
-    shared = F.col("n_owners").isNotNull()
+    judged = found.join(small(checkpointed(ownership(found))), "hash")
+    shared = (F.col("n_owners") >= SHARED_OWNERS) | (F.col("n_repositories") >= SHARED_REPOSITORIES)
     base = F.col("order") < len(BASE)
     names = [k for k, _, _ in (*BASE, *ADDED)]
     by_row = judged.groupBy("row").agg(
@@ -142,12 +142,14 @@ def find_secrets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         _joined(names).alias("spans"),
         F.count(F.when(F.col("random") & ~shared, 1)).alias("n_live"),
         F.count(F.when(shared, 1)).alias("n_example"),
+        F.max("n_owners").alias("most_owners"),
+        F.max("n_repositories").alias("most_repositories"),
     )
     none = F.sha2(F.lit(""), 256)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
     return rows.join(by_row, "row", "left").select(
         "doc_id", zero("n_assign"), zero("n_access"), zero("n_hex"), F.coalesce("base_sha256", none).alias("base_sha256"),
-        F.coalesce("spans", F.lit("")).alias("spans"), zero("n_live"), zero("n_example"),
+        F.coalesce("spans", F.lit("")).alias("spans"), zero("n_live"), zero("n_example"), zero("most_owners"), zero("most_repositories"),
     )
 
 

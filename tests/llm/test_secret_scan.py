@@ -82,6 +82,25 @@ def test_many_repositories_of_one_owner_make_an_example(spark):
     assert [(r["n_owners"], r["n_repositories"]) for r in collected(secret_scan.ownership(found))] == [(2, 2)]
 
 
+def test_counts_of_owners_and_repositories_like_brute_force(spark):
+    r = random.Random(2)
+    values = [f"token=Zx81kQpa93L{c}" for c in "abcdefghij"]
+    rows = [(i % 60 if i % 9 else None, " and ".join(r.sample(values, r.randint(0, 3))), r.choice(["a", "b", "c", "d", None])) for i in range(200)]
+    got = collected(secret_scan.find_secrets(docs(spark, rows)))
+    owners, repositories = {v: set() for v in values}, {v: set() for v in values}
+    for i, t, s in rows:
+        for v in values:
+            if v in t:
+                owners[v].add(s)
+                repositories[v].add(i)
+    want = []
+    for i, t, _ in rows:
+        own = [(len(owners[v]), len(repositories[v])) for v in values if v in t]
+        shared = sum(o >= secret_scan.SHARED_OWNERS or n >= secret_scan.SHARED_REPOSITORIES for o, n in own)
+        want.append((str(i), len(own) - shared, shared, max((o for o, _ in own), default=0), max((n for _, n in own), default=0)))
+    assert sorted((str(g["doc_id"]), g["n_live"], g["n_example"], g["most_owners"], g["most_repositories"]) for g in got) == sorted(want)
+
+
 def test_empty_and_native(spark):
     assert collected(secret_scan.find_secrets(docs(spark, []))) == []
     plan = secret_scan.find_secrets(docs(spark))._jdf.queryExecution().executedPlan().toString()
