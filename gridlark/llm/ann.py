@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlark.llm.common import checkpointed
+from gridlark.llm.common import checkpointed, ship
 
 #: Rows of a shard, about.
 SHARD = 16_384
@@ -207,6 +207,7 @@ def search(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "embeddi
 
 def searched(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", every: int = 20, k: int = 20) -> DataFrame:
     """As search(), with `scored`: how many distinct vectors were scored for the query in the shard that a row is from."""
+    ship(vectors.sparkSession)
     x = F.col("v")
     sound = ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))) & F.exists(x, lambda c: c != 0)
     rows = checkpointed(

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,24 +32,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BATCH_ROWS = 2_000
 
 
+_shipped: dict[str, str] = {}
+
+
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package, wherever the driver was started, and keeps their batches small."""
+    """Sends this package to the Python workers, wherever the driver was started, and keeps their batches small: the
+    session's limit of rows is lowered and stays so, for the rows are sent when the result is used. Every operator that
+    runs Python calls it."""
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
         spark.conf.set(rows, str(BATCH_ROWS))
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    paths = env.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="gridlark-code-")) / f"{package.name}.zip"  # the driver serves it from here
+        with zipfile.ZipFile(archive, "w") as z:
+            for path in sorted(package.rglob("*.py")):
+                z.write(path, path.relative_to(package.parent))
+        sc.addPyFile(str(archive))
+        _shipped[sc.applicationId] = str(archive)
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir. Only where none is set, as in tests on one machine, a
-    temporary one is taken."""
+    """The folder that the cluster names in spark.checkpoint.dir. Only on a local master, as in tests, a temporary one is
+    taken where none is set."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridlark-checkpoint-"))
+        named = sc.getConf().get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="gridlark-checkpoint-"))
     return sc.getCheckpointDir()
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.llm.common import checkpointed, words_of
+from gridlark.llm.common import checkpointed, ship, words_of
 
 WINDOW = 10
 
@@ -148,6 +148,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     benchmark takes several passes, and what one has found is written out before the next.
     """
     spark = docs.sparkSession
+    ship(spark)
     items = benchmark.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("body")
     )

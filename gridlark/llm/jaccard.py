@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.llm.common import _WORD_BYTES, checkpointed, small
+from gridlark.llm.common import _WORD_BYTES, checkpointed, ship, small
 
 WORDS, THRESHOLD = 5, 0.8
 #: Signature: 24 bands of 4 values. A pair at the threshold shares no band with probability (1 - 0.8 ** 4) ** 24 = 3e-6.
@@ -326,6 +326,7 @@ def _fetched(docs: DataFrame, active: DataFrame, again: DataFrame, words: int) -
 def _linked(docs: DataFrame, doc_id: str, text: str, words: int, threshold: float) -> DataFrame:
     """A row per row of docs: doc_id, th, class, n, lead, links. lead is (no, doc_id, th) of the first document that links
     lead to, itself among them; it is null for texts that are linked to nothing."""
+    ship(docs.sparkSession)
     least = fewest_matches(threshold)
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), _text_hash(text).alias("th"), _body(text).cast("binary").alias("body"))
     rows = checkpointed(_sketch(own, dict(docs.dtypes)[doc_id], words))

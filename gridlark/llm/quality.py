@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.llm.common import first_rows
+from gridlark.llm.common import first_rows, ship
 
 #: A passage is so many bytes of the UTF-8 text, the last what remains.
 PASSAGE = 512
@@ -180,6 +180,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id",
     Repeated rows get a row each, an empty table none; columns besides those named are not read.
     """
     spark = docs.sparkSession
+    ship(spark)
     usable = (
         labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
         .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (F.lit(True) if learn is None else learn))

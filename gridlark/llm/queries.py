@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlark.llm import ann, decontam, jaccard, license_scan, mixture, pii, quality, secret_scan, token_count, toxicity
-from gridlark.llm.common import crc_remainder, ship, table
+from gridlark.llm.common import crc_remainder, table
 
 
 def op1_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,16 +60,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = (op1_mixture, op2_toxicity, op3_token_counts, op4_decontamination, op5_pii, op6_neighbours, op7_secrets, op8_near_duplicates, op9_licenses, op10_quality)
 
 
-def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship(spark)
-        return query(spark, sf_dir)
-
-    return run
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: _shipped(q) for q in _QUERIES}
+    return {q.__name__: q for q in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:

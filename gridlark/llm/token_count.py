@@ -14,6 +14,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from gridlark.llm.common import ship
+
 #: How the byte-level pre-tokenizer splits a text (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -154,6 +156,7 @@ def count_tokens(docs: DataFrame, definition: str, *, doc_id: str = "doc_id", te
     rows are counted each. Columns besides the two that are named are not read.
     """
     check_supported(definition)
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((definition, prove_whole(definition), newer_letters(definition)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

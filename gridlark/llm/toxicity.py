@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.llm.common import checkpointed, first_rows, words_of
+from gridlark.llm.common import checkpointed, first_rows, ship, words_of
 
 # Signs and digits, and the letters they are written for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "*": "aeiou"}
@@ -381,6 +381,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id"
     Repeated rows get a row each; an empty table gives none.
     """
     spark = docs.sparkSession
+    ship(spark)
     corpus = spark.sparkContext.broadcast(read_corpus(docs, text))
     model = spark.sparkContext.broadcast(fit(docs, labels, doc_id=doc_id, text=text, label=label, corpus=corpus, learn=F.lit(True) if learn is None else learn))
     carry = carry or []
