@@ -106,3 +106,9 @@ def first_rows(docs: DataFrame, labels: DataFrame, most: int, seed: int) -> Data
     chosen = first(docs.select("doc_id").join(small(tried), "doc_id").distinct(), most)
     found = docs.join(small(chosen), "doc_id").groupBy("doc_id", "label", "turn")
     return checkpointed(found.agg(F.min_by(F.col("body"), F.xxhash64("body")).alias("body")).select("doc_id", "body", "label", "turn"))
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this program has written."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
