@@ -12,25 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlark.llm import decontam, jaccard, mixture, secret_scan, toxicity
-from gridlark.llm.common import checkpoint_folder, crc_remainder, ship, table
+from gridlark.llm.common import checkpoint_folder, crc_remainder, forget, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learnt from the labels of these documents, does not predict toxic."""
-    ship(spark)
     scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), learn=crc_remainder("doc_id", 5) != 0, carry=docs.columns, prefix="toxicity_")
     return scored.filter("toxicity_predicted = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of Jaccard similarity 0.8 on five-word shingles hold together, the one of least id."""
-    ship(spark)
     return jaccard.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of ten words of the benchmark occurs."""
-    ship(spark)
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), carry=docs.columns, prefix="benchmark_")
     return found.filter("NOT benchmark_contaminated").select(*[F.col(f"`{c}`") for c in docs.columns])
 
@@ -58,9 +55,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that all stages leave. A stage's rows are deleted when the next stage's are written; the last one's stay."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            forget(spark, f"{folder}/{k - 1}")
     return docs
