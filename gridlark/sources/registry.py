@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from gridlark.errors import InterfaceError, NotSupportedError, OperationalError
 from gridlark.sources import patch
 from gridlark.sources.catalog import METADATA, Catalog, parquet_relation, relation_of
+from gridlark.sources.remote import SCHEMES, RemoteStore
 from gridlark.sources.xlsx import read_workbook, write_workbook
 
 
@@ -142,13 +143,6 @@ class ParquetStore:
         pass
 
 
-class RemoteStore:
-    """Workbooks behind a web service need a network and a client library; neither is here."""
-
-    def __init__(self, path: str, **options: Any):
-        raise NotSupportedError("Remote workbooks are not supported here; register a store of your own for the scheme")
-
-
 _stores: dict[str, Callable[..., TableStore]] = {}
 _schemes: dict[str, str] = {}
 
@@ -190,7 +184,7 @@ def _alive(pid: int) -> bool:
 
 register_engine("workbook", WorkbookStore)
 register_engine("parquet", ParquetStore, ("parquet",))
-register_engine("remote", RemoteStore, ("https",))
+register_engine("graph", RemoteStore, (*SCHEMES, "https"))
 
 
 def default_session() -> SparkSession:
