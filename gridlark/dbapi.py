@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -17,6 +18,9 @@ from gridlark.sources.registry import default_session, store_for
 from gridlark.sql import ast as a
 from gridlark.sql.parser import parse
 
+#: A result of at most so many rows is held by its cursor; a larger one is counted, and read as it is fetched.
+HELD_ROWS = 10_000
+
 apilevel, threadsafety, paramstyle = "2.0", 1, "qmark"
 
 Date, Time, Timestamp = dt.date, dt.time, dt.datetime
@@ -182,8 +186,7 @@ class Cursor:
     def _reset(self) -> None:
         self.description: list[tuple] | None = None
         self.rowcount, self.lastrowid = -1, None
-        self.rows: list[tuple] | None = None
-        self._at = 0
+        self.rows: Iterator[tuple] | None = None
 
     @_open
     def execute(self, sql: str, params: Sequence[Any] | None = None) -> Cursor:
@@ -206,43 +209,40 @@ class Cursor:
     def _keep(self, outcome: Outcome) -> None:
         self.rowcount, self.lastrowid = outcome.rowcount, outcome.lastrowid
         if outcome.result is not None:
+            df = outcome.result.df
             try:
-                self.rows = [tuple(r) for r in outcome.result.df.collect()]
+                first = df.limit(HELD_ROWS + 1).collect()
+                self.rowcount = len(first) if len(first) <= HELD_ROWS else df.count()
             except Exception as error:
                 raise e.mapped(error) from error
+            # a larger result comes partition by partition as it is fetched
+            self.rows = map(tuple, first if len(first) <= HELD_ROWS else df.toLocalIterator(prefetchPartitions=True))
             self.description = [(l, x.kind, None, None, None, None, None) for l, x in zip(outcome.result.labels, outcome.result.values, strict=True)]
-            self.rowcount = len(self.rows)
 
     def _check(self) -> None:
         if self.connection.closed:
             raise e.InterfaceError("Connection is closed")
 
-    def _fetchable(self) -> list[tuple]:
+    def _fetched(self, size: int | None) -> list[tuple]:
         self._check()
         if self.rows is None:
             raise e.ProgrammingError("There are no rows to fetch")
-        return self.rows
+        try:
+            return list(self.rows if size is None else itertools.islice(self.rows, size))
+        except Exception as error:
+            raise e.mapped(error) from error
 
     @_open
     def fetchone(self) -> tuple | None:
-        rows = self._fetchable()
-        if self._at >= len(rows):
-            return None
-        self._at += 1
-        return rows[self._at - 1]
+        return next(iter(self._fetched(1)), None)
 
     @_open
     def fetchmany(self, size: int | None = None) -> list[tuple]:
-        rows, n = self._fetchable(), self.arraysize if size is None else size
-        out = rows[self._at : self._at + n]
-        self._at += len(out)
-        return out
+        return self._fetched(self.arraysize if size is None else size)
 
     @_open
     def fetchall(self) -> list[tuple]:
-        out = self._fetchable()[self._at :]
-        self._at += len(out)
-        return out
+        return self._fetched(None)
 
     def __iter__(self):
         return iter(self.fetchone, None)

@@ -167,3 +167,13 @@ def test_data_source(book, spark, tmp_path):
     assert [(r.id, r.name) for r in df.orderBy("id").collect()] == [(1, "Ann"), (2, "B & <b>"), (3, None)]
     datasource.save(df.select("id"), str(tmp_path / "out.xlsx"), "Out")
     assert sorted(read_workbook(str(tmp_path / "out.xlsx"))[0].rows) == [[1], [2], [3]]
+
+
+def test_larger_results_are_read_as_they_are_fetched(book, spark, monkeypatch):
+    with dbapi.connect(book, spark=spark) as c:
+        sql = "SELECT * FROM Two UNION ALL SELECT * FROM Two UNION ALL SELECT * FROM Two"
+        want = c.execute(sql).fetchall()
+        monkeypatch.setattr(dbapi, "HELD_ROWS", 1)
+        cursor = c.execute(sql)
+        assert cursor.rowcount == len(want) > 2
+        assert [cursor.fetchone(), *cursor.fetchmany(1), *cursor.fetchall()] == want and cursor.fetchone() is None and cursor.fetchall() == []
