@@ -29,7 +29,7 @@ SHARD = 16_384
 #: Trees of a forest, symbols of a string, directions of a symbol.
 TREES, SYMBOLS, DIRECTIONS = 192, 5, 16
 #: Trees that ascend in one step.
-STEP = 16
+STEP = 4
 #: The share of a query's nearest that the ascent goes on for, as estimated from the angles of those found.
 WANTED = 0.95
 #: So few distinct vectors are all scored.
