@@ -28,7 +28,7 @@ from gridlark.llm.common import checkpointed, ship
 SHARD = 16_384
 #: Trees of a forest, symbols of a string, directions of a symbol.
 TREES, SYMBOLS, DIRECTIONS = 192, 5, 16
-#: Trees that ascend in one step.
+#: Trees that ascend in one step, at least.
 STEP = 4
 #: The share of a query's nearest that the ascent goes on for, as estimated from the angles of those found.
 WANTED = 0.95
@@ -120,12 +120,14 @@ class Forest:
         known = np.zeros(len(self.vectors), bool)
         leaves, scores = [], []
         length, best, wanted = float(np.sqrt(query @ query)) * self.longest, np.zeros(0), self.nearest + mine
+        near = best
         # what longer prefixes reach is part of it: the first step takes all trees where that can be enough
         sums = (high - low).sum(1)
         first = max((d for d in range(SYMBOLS + 1) if sums[d] >= wanted), default=0)
         for depth in range(first, -1, -1):
-            for at in range(0, TREES, TREES if depth == first else STEP):
-                to = TREES if depth == first else min(at + STEP, TREES)
+            at = to = 0
+            while at < TREES:
+                to = TREES if depth == first else self._next(near / length, depth, at)
                 new = known.copy()
                 for t in range(at, to):
                     if (a := low[depth, t]) < (b := high[depth, t]):
@@ -138,18 +140,29 @@ class Forest:
                     scores.append(self.vectors[found] @ query)
                     best = np.sort(np.append(best, scores[-1]))[-k - mine :]
                 near = best[max(0, len(best) - wanted) : len(best) - mine]
-                if len(best) >= wanted and self._reached(near / length, depth, to) >= WANTED:
+                if len(best) >= wanted and self._reached(near / length, depth, np.array([to]))[0] >= WANTED:
                     return np.concatenate(leaves), np.concatenate(scores)
+                at = to
         return np.concatenate(leaves), np.concatenate(scores)
 
+    def _next(self, cosines: np.ndarray, depth: int, at: int) -> int:
+        """How many trees have ascended after the next step: half of the way to where those found so far would do, for
+        what a step finds is nearer."""
+        if len(cosines) < self.nearest:
+            return min(at + STEP, TREES)
+        several = np.arange(at + STEP, TREES, STEP)
+        enough = several[self._reached(cosines, depth, several) >= WANTED]
+        whole = int(enough[0]) if len(enough) else TREES
+        return min(max(at + STEP, (at + whole) // 2), TREES)
+
     @staticmethod
-    def _reached(cosines: np.ndarray, depth: int, trees: int) -> float:
-        """The mean probability that vectors at these angles share `depth` symbols with the query in one of the first
-        trees, or one more in another."""
+    def _reached(cosines: np.ndarray, depth: int, trees: np.ndarray) -> np.ndarray:
+        """For each number of trees, the mean probability that vectors at these angles share `depth` symbols with the query
+        in one of so many, or one more in another."""
         x, shares = agreement()
-        p = np.interp(cosines, x, shares)
-        up, rest = min(trees, TREES), max(0, TREES - trees)
-        return float(np.mean(1 - (1 - p**depth) ** up * (1 - p ** (depth + 1)) ** rest))
+        p = np.minimum(np.interp(cosines, x, shares), 1 - 1e-12)
+        missed = trees[:, None] * np.log1p(-(p**depth) * (1 - 1e-12)) + (TREES - trees[:, None]) * np.log1p(-(p ** (depth + 1)))
+        return 1 - np.exp(missed).mean(1)
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
