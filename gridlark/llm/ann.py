@@ -40,8 +40,8 @@ LEAST = 256
 def agreement() -> tuple[np.ndarray, np.ndarray]:
     """The probability that two vectors share a symbol, by the cosine between them; simulated once, never falling."""
     r = np.random.default_rng(5)
-    a, b = r.normal(size=(2, 20_000, DIRECTIONS))
-    cosines = np.linspace(-1, 1, 81)
+    a, b = r.normal(size=(2, 8_000, DIRECTIONS))
+    cosines = np.linspace(-1, 1, 41)
     place = np.arange(len(a))
     shares = []
     for c in cosines:
@@ -138,7 +138,8 @@ class Forest:
                     known |= new
                     leaves.append(found)
                     scores.append(self.vectors[found] @ query)
-                    best = np.sort(np.append(best, scores[-1]))[-k - mine :]
+                    best = np.append(best, scores[-1])
+                    best = np.sort(best if len(best) <= k + mine else np.partition(best, len(best) - k - mine)[-k - mine :])
                 near = best[max(0, len(best) - wanted) : len(best) - mine]
                 if len(best) >= wanted and self._reached(near / length, depth, np.array([to]))[0] >= WANTED:
                     return np.concatenate(leaves), np.concatenate(scores)
@@ -146,14 +147,14 @@ class Forest:
         return np.concatenate(leaves), np.concatenate(scores)
 
     def _next(self, cosines: np.ndarray, depth: int, at: int) -> int:
-        """How many trees have ascended after the next step: half of the way to where those found so far would do, for
-        what a step finds is nearer."""
+        """How many trees have ascended after the next step: two thirds of the way to where those found so far would do,
+        for what a step finds is nearer. With too few found, it is an eighth of all."""
         if len(cosines) < self.nearest:
-            return min(at + STEP, TREES)
+            return min(at + TREES // 8, TREES)
         several = np.arange(at + STEP, TREES, STEP)
         enough = several[self._reached(cosines, depth, several) >= WANTED]
         whole = int(enough[0]) if len(enough) else TREES
-        return min(max(at + STEP, (at + whole) // 2), TREES)
+        return min(max(at + STEP, (at + 2 * whole) // 3), TREES)
 
     @staticmethod
     def _reached(cosines: np.ndarray, depth: int, trees: np.ndarray) -> np.ndarray:
